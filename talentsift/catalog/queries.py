@@ -196,16 +196,24 @@ def parse_first_video(t: Samples) -> DataFrame:
     return parsing.first_videos(_parsed(t)).select("raw_id", "video_id", "is_ad", "digg_count")
 
 
+_LOOSE = """struct<id: variant, isAd: variant, shareCount: variant, playCount: variant, collectCount: variant,
+    authorMeta: struct<fans: variant, following: variant, video: variant, verified: variant,
+                       privateAccount: variant, ttSeller: variant, commerceUserInfo: variant>>"""
+
+
 def _opened_items(t: Samples) -> DataFrame:
     """The leading item of every payload, read without any outcome rule."""
-    opened = V.evaluate_once(t.raw_payloads(), ["raw_id", "source_type"], doc=F.try_parse_json("payload"))
-    item = F.when(F.col("source_type") == "hashtag", F.col("doc")).otherwise(V.node(F.col("doc"), "profile_item"))
-    return opened.select("raw_id", item.alias("item"))
+    item = F.when(F.col("source_type") == "hashtag", V.read(F.col("payload"), _LOOSE)).otherwise(
+        V.read(F.col("payload"), f"struct<profile_item: {_LOOSE}>")["profile_item"]
+    )
+    return V.evaluate_once(t.raw_payloads(), ["raw_id"], item=item)
 
 
 @query
 def json_dual_shape(t: Samples) -> DataFrame:
-    opened = V.evaluate_once(t.search_items(), ["query", "pos"], doc=F.try_parse_json("item"))
+    opened = V.evaluate_once(
+        t.search_items(), ["query", "pos"], doc=V.read(F.col("item"), discovery.AUTHOR_REF)
+    )
 
     def author(leaf: str) -> Column:
         return V.text(V.dual_shape(F.col("doc"), "authorMeta", leaf)).alias(leaf)
@@ -215,29 +223,29 @@ def json_dual_shape(t: Samples) -> DataFrame:
 
 @query
 def json_lenient_int(t: Samples) -> DataFrame:
-    item = F.col("item")
+    item, author = F.col("item"), F.col("item.authorMeta")
     return _opened_items(t).select(
         "raw_id",
-        V.integer(item, "authorMeta", "fans").alias("fans"),
-        V.integer(item, "authorMeta", "following").alias("following"),
-        V.integer(item, "authorMeta", "video").alias("video"),
-        V.integer(item, "shareCount").alias("share_count"),
-        V.integer(item, "playCount").alias("play_count"),
-        V.integer(item, "collectCount").alias("collect_count"),
+        V.integer(author["fans"]).alias("fans"),
+        V.integer(author["following"]).alias("following"),
+        V.integer(author["video"]).alias("video"),
+        V.integer(item["shareCount"]).alias("share_count"),
+        V.integer(item["playCount"]).alias("play_count"),
+        V.integer(item["collectCount"]).alias("collect_count"),
     )
 
 
 @query
 def json_truthy(t: Samples) -> DataFrame:
-    item = F.col("item")
+    item, author = F.col("item"), F.col("item.authorMeta")
     return _opened_items(t).select(
         "raw_id",
-        V.flag(item, "authorMeta", "verified").alias("verified"),
-        V.flag(item, "authorMeta", "privateAccount").alias("private_account"),
-        V.flag(item, "authorMeta", "ttSeller").alias("tt_seller"),
-        V.flag(item, "authorMeta", "commerceUserInfo").alias("commerce_info"),
-        V.flag(item, "isAd").alias("is_ad"),
-        V.flag(item, "id").alias("has_id"),
+        V.truthy(author["verified"]).alias("verified"),
+        V.truthy(author["privateAccount"]).alias("private_account"),
+        V.truthy(author["ttSeller"]).alias("tt_seller"),
+        V.truthy(author["commerceUserInfo"]).alias("commerce_info"),
+        V.truthy(item["isAd"]).alias("is_ad"),
+        V.truthy(item["id"]).alias("has_id"),
     )
 
 

@@ -33,21 +33,30 @@ def node(doc: Column, *keys: str) -> Column:
     return F.try_variant_get(doc, _path(*keys), "variant")
 
 
-def text(doc: Column, *keys: str) -> Column:
-    return F.try_variant_get(doc, _path(*keys), "string")
+def text(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "string")
 
 
-def integer(doc: Column, *keys: str) -> Column:
+def integer(value: Column) -> Column:
     """Whole number out of a number, quoted number or boolean; anything else is NULL.
 
     Fractions truncate towards zero; a quoted fraction is not a whole number.
     """
-    return F.try_variant_get(doc, _path(*keys), "bigint")
+    return F.try_variant_get(value, "$", "bigint")
 
 
-def items(doc: Column, *keys: str) -> Column:
-    """Array of VARIANT, NULL when the value is not an array."""
-    return F.try_variant_get(doc, _path(*keys), "array<variant>")
+def read(payload: Column, shape: str) -> Column:
+    """Fields of a JSON text in one tokenizer pass that skips everything ``shape`` leaves out.
+
+    ``variant`` leaves keep the JSON type, including a present null; a leaf
+    that does not fit is NULL and leaves its neighbours alone.
+    """
+    return F.from_json(payload, shape)
+
+
+def typed(doc: Column, shape: str, *keys: str) -> Column:
+    """The value at a key path of an opened document, cast to a struct or array leaf by leaf."""
+    return F.try_variant_get(doc, _path(*keys), shape)
 
 
 def kind(doc: Column) -> Column:
@@ -58,32 +67,34 @@ def is_object(doc: Column) -> Column:
     return F.coalesce(F.startswith(kind(doc), F.lit("OBJECT<")), F.lit(False))
 
 
-# How false, zero and empty collections print; the same text in a JSON string is not empty.
-_PRINTS_EMPTY = r"^(false|\[\]|\{\}|-?0(\.0*)?(E-?\d+)?)$"
+# JSON text of the values that count as nothing; a string always carries its quotes.
+_NOTHING = r'^(null|false|""|\[\]|\{\}|-?0(\.0*)?(E-?\d+)?)$'
 
 
-def flag(doc: Column, *keys: str) -> Column:
+def truthy(value: Column) -> Column:
     """Presence with substance: not missing, null, false, zero or empty.
 
-    Every non-empty string counts, including ``"false"`` and ``"0"``. The type
-    is looked up only for values that print like an empty one.
+    Every non-empty string counts, including ``"false"`` and ``"0"``.
     """
-    printed = text(doc, *keys)
-    return F.coalesce(
-        F.when(printed.rlike(_PRINTS_EMPTY), kind(node(doc, *keys)) == "STRING").otherwise(printed != ""),
-        F.lit(False),
-    )
+    return F.coalesce(~F.to_json(value).rlike(_NOTHING), F.lit(False))
 
 
-def is_false(doc: Column, *keys: str) -> Column:
-    """True only for a JSON ``false``; a missing key or a falsy value is not it."""
-    return F.coalesce((text(doc, *keys) == "false") & (kind(node(doc, *keys)) == "BOOLEAN"), F.lit(False))
+def is_false(value: Column) -> Column:
+    """True only for a JSON ``false``; a missing or otherwise falsy value is not it."""
+    return F.coalesce(F.to_json(value) == "false", F.lit(False))
 
 
 def dual_shape(doc: Column, parent: str, leaf: str) -> Column:
-    """A field that is either flattened (``"parent.leaf"``) or nested.
+    """A VARIANT leaf that is either flattened (``"parent.leaf"``) or nested.
 
     The flattened key wins whenever it exists, even with a null value: the
     VARIANT null is not SQL NULL, so ``coalesce`` stops there.
     """
-    return F.coalesce(node(doc, f"{parent}.{leaf}"), node(doc, parent, leaf))
+    return F.coalesce(doc.getField(f"{parent}.{leaf}"), doc[parent][leaf])
+
+
+def dual_schema(parent: str, *leaves: str) -> str:
+    """Schema that reads both placements of the leaves."""
+    flat = ", ".join(f"`{parent}.{leaf}`: variant" for leaf in leaves)
+    nested = ", ".join(f"{leaf}: variant" for leaf in leaves)
+    return f"struct<{flat}, {parent}: struct<{nested}>>"

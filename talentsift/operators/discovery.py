@@ -25,9 +25,12 @@ def discovery_source(name: str) -> Callable[[DiscoverySource], DiscoverySource]:
     return register
 
 
+AUTHOR_REF = V.dual_schema("authorMeta", "id", "name", "fans")
+
+
 def author_sightings(items: DataFrame, keep: Sequence[str] = ("query", "pos")) -> DataFrame:
     """One row per item ``(query, pos, item)`` that names an author, in either payload shape."""
-    opened = V.evaluate_once(items, keep, doc=F.try_parse_json("item"))
+    opened = V.evaluate_once(items, keep, doc=V.read(F.col("item"), AUTHOR_REF))
 
     def author(leaf: str) -> Column:
         return V.dual_shape(F.col("doc"), "authorMeta", leaf)
@@ -38,8 +41,8 @@ def author_sightings(items: DataFrame, keep: Sequence[str] = ("query", "pos")) -
     named = V.evaluate_once(
         fields,
         keep,
-        external_id=F.when(V.flag(F.col("id")), V.text(F.col("id"))),
-        handle=F.when(V.flag(F.col("name")), V.text(F.col("name"))).otherwise(F.lit("")),
+        external_id=F.when(V.truthy(F.col("id")), V.text(F.col("id"))),
+        handle=F.when(V.truthy(F.col("name")), V.text(F.col("name"))).otherwise(F.lit("")),
         follower_count=V.integer(F.col("fans")),
     )
     return named.where(F.col("external_id").isNotNull())

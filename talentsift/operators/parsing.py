@@ -1,7 +1,8 @@
 """Landed payloads to profile rows, video rows and quarantined errors.
 
-Each payload is opened once. Shapes are declared per source type; what an item
-means is declared once for all of them.
+Shapes are declared per source type; what an item means is declared once for
+all of them. Payloads stay text between the steps, and each step reads only
+the fields it needs.
 """
 
 from __future__ import annotations
@@ -26,58 +27,97 @@ from talentsift.rules import (
 FAILED_FETCH = "failed_fetch"
 
 
+# Item fields as they are read. Counts, identifiers and flags stay VARIANT because the
+# lenient cast and emptiness depend on the JSON type.
+_COUNTS = ("playCount", "diggCount", "commentCount", "shareCount", "collectCount")
+_AUTHOR_COUNTS = ("fans", "following", "heart", "video")
+AUTHOR = f"""struct<
+    id: variant, name: string, verified: variant, privateAccount: variant, signature: string,
+    bioLink: string, commerceUserInfo: struct<commerceUser: variant>, ttSeller: variant,
+    {", ".join(f"{name}: variant" for name in _AUTHOR_COUNTS)}>"""
+PROFILE = f"struct<authorMeta: {AUTHOR}>"
+VIDEO = f"""struct<
+    id: variant, createTimeISO: string, isAd: variant, textLanguage: string, webVideoUrl: string,
+    {", ".join(f"{name}: variant" for name in _COUNTS)}, authorMeta: struct<id: string>>"""
+AUTHOR_ID = "authorMeta: struct<id: variant>"
+
+
 @dataclass(frozen=True)
 class Shape:
-    """Where a payload keeps its profile item (if it has one) and its video items."""
+    """How a source type lays out its payload.
+
+    ``head`` names what the first look reads besides ``ok`` and ``reason``, and
+    ``author`` finds the author id in it; both stay empty for a payload without
+    a profile of its own. ``profile`` and ``videos`` read the payload text.
+    """
 
     videos: Callable[[Column], Column]
+    head: str | None = None
+    author: Callable[[Column], Column] | None = None
     profile: Callable[[Column], Column] | None = None
+    wraps_profile: bool = False
 
 
-# ``profile_page`` carries further videos of a fetch and no profile of its own.
+def _listed(payload: Column) -> Column:
+    """The video list. A list with members that are no objects is read again without them."""
+    shape = f"array<{VIDEO}>"
+    return F.coalesce(
+        V.read(payload, f"struct<video_items: {shape}>")["video_items"],
+        V.typed(F.try_parse_json(payload), shape, "video_items"),
+    )
+
+
+# ``profile_page`` carries further videos of a fetch.
 SHAPES: dict[str, Shape] = {
-    "profile": Shape(lambda doc: V.items(doc, "video_items"), lambda doc: V.node(doc, "profile_item")),
-    "profile_page": Shape(lambda doc: V.items(doc, "video_items")),
-    "hashtag": Shape(lambda doc: F.array(doc), lambda doc: doc),
+    "profile": Shape(
+        videos=_listed,
+        head=f"profile_item: struct<{AUTHOR_ID}>",
+        author=lambda head: head["profile_item"]["authorMeta"]["id"],
+        profile=lambda payload: V.read(payload, f"struct<profile_item: {PROFILE}>")["profile_item"],
+        wraps_profile=True,
+    ),
+    "profile_page": Shape(videos=_listed),
+    "hashtag": Shape(
+        videos=lambda payload: F.array(V.read(payload, VIDEO)),
+        head=AUTHOR_ID,
+        author=lambda head: head["authorMeta"]["id"],
+        profile=lambda payload: V.read(payload, PROFILE),
+    ),
 }
 
 
 def profile_fields(item: Column) -> list[Column]:
-    def count(key: str) -> Column:
-        return V.integer(item, "authorMeta", key)
-
-    def flag(*keys: str) -> Column:
-        return V.flag(item, "authorMeta", *keys)
-
+    author = item["authorMeta"]
+    commerce = V.truthy(author["commerceUserInfo"]["commerceUser"]) | V.truthy(author["ttSeller"])
     return [
         F.lit(PLATFORM).alias("platform"),
-        V.text(item, "authorMeta", "id").alias("external_id"),
-        F.coalesce(V.text(item, "authorMeta", "name"), F.lit("")).alias("handle"),
-        count("fans").alias("follower_count"),
-        count("following").alias("following_count"),
-        count("heart").alias("lifetime_likes"),
-        count("video").alias("video_count"),
-        V.text(item, "authorMeta", "signature").alias("bio"),
-        V.text(item, "authorMeta", "bioLink").alias("bio_link"),
-        flag("verified").alias("is_verified"),
-        flag("privateAccount").alias("is_private"),
-        (flag("commerceUserInfo", "commerceUser") | flag("ttSeller")).alias("is_commerce_account"),
+        V.text(author["id"]).alias("external_id"),
+        F.coalesce(author["name"], F.lit("")).alias("handle"),
+        V.integer(author["fans"]).alias("follower_count"),
+        V.integer(author["following"]).alias("following_count"),
+        V.integer(author["heart"]).alias("lifetime_likes"),
+        V.integer(author["video"]).alias("video_count"),
+        author["signature"].alias("bio"),
+        author["bioLink"].alias("bio_link"),
+        V.truthy(author["verified"]).alias("is_verified"),
+        V.truthy(author["privateAccount"]).alias("is_private"),
+        commerce.alias("is_commerce_account"),
     ]
 
 
 def video_fields(item: Column) -> list[Column]:
     return [
-        V.text(item, "id").alias("video_id"),
-        F.coalesce(V.text(item, "authorMeta", "id"), F.lit("")).alias("creator_external_id"),
-        F.try_to_timestamp(V.text(item, "createTimeISO")).alias("posted_at"),
-        V.flag(item, "isAd").alias("is_ad"),
-        V.text(item, "textLanguage").alias("text_language"),
-        V.text(item, "webVideoUrl").alias("web_video_url"),
-        V.integer(item, "playCount").alias("play_count"),
-        V.integer(item, "diggCount").alias("digg_count"),
-        V.integer(item, "commentCount").alias("comment_count"),
-        V.integer(item, "shareCount").alias("share_count"),
-        V.integer(item, "collectCount").alias("collect_count"),
+        V.text(item["id"]).alias("video_id"),
+        F.coalesce(item["authorMeta"]["id"], F.lit("")).alias("creator_external_id"),
+        F.try_to_timestamp(item["createTimeISO"]).alias("posted_at"),
+        V.truthy(item["isAd"]).alias("is_ad"),
+        item["textLanguage"].alias("text_language"),
+        item["webVideoUrl"].alias("web_video_url"),
+        V.integer(item["playCount"]).alias("play_count"),
+        V.integer(item["diggCount"]).alias("digg_count"),
+        V.integer(item["commentCount"]).alias("comment_count"),
+        V.integer(item["shareCount"]).alias("share_count"),
+        V.integer(item["collectCount"]).alias("collect_count"),
     ]
 
 
@@ -89,77 +129,91 @@ def _by_shape(source_type: Column, cases: dict[str, Column]) -> Column:
 
 
 def parse_payloads(raw: DataFrame, shapes: dict[str, Shape] = SHAPES) -> DataFrame:
-    """One row per payload with its ``outcome``, ``error``, ``profile_item`` and ``video_items``.
+    """The payloads with their ``outcome``, ``error`` and ``reason``.
 
     A soft failure is a recorded fact (``failed_fetch``), a shape the parser
-    cannot read is an error (``failed``), and neither stops the batch.
-    Checks that walk a whole document run only for rows without a usable author.
+    cannot read is an error (``failed``), and neither stops the batch. The
+    first look reads a few fields; checks that walk a whole document run only
+    for rows without a usable author.
     """
-    doc, source_type = F.col("doc"), F.col("source_type")
-    with_profile = [name for name, shape in shapes.items() if shape.profile]
+    payload, source_type = F.col("payload"), F.col("source_type")
+    with_profile = {name: shape for name, shape in shapes.items() if shape.profile}
+    wrapping = [name for name, shape in shapes.items() if shape.wraps_profile]
+    heads = dict.fromkeys(shape.head for shape in with_profile.values())
     landed = ["raw_id", "platform", "source_type", "external_id", "fetched_at"]
-    opened = V.evaluate_once(raw, landed, doc=F.try_parse_json("payload"))
-    shaped = opened.select(
+
+    head_schema = f"struct<ok: variant, reason: string, {', '.join(heads)}>"
+    looked_at = V.evaluate_once(raw, [*landed, "payload"], head=V.read(payload, head_schema))
+    head = F.col("head")
+    author_id = _by_shape(source_type, {name: shape.author(head) for name, shape in with_profile.items()})
+    weighed = looked_at.select(
         *landed,
-        "doc",
-        V.is_false(doc, "ok").alias("soft_failure"),
-        _by_shape(source_type, {name: shapes[name].profile(doc) for name in with_profile}).alias("item"),
-        _by_shape(source_type, {name: shape.videos(doc) for name, shape in shapes.items()}).alias("listed"),
+        "payload",
+        V.is_false(head["ok"]).alias("soft"),
+        V.truthy(author_id).alias("named"),
+        head["reason"].alias("given_reason"),
     )
-    item, soft = F.col("item"), F.col("soft_failure")
+    soft, document = F.col("soft"), F.try_parse_json(payload)
     error = (
-        F.when(soft | V.flag(item, "authorMeta", "id"), F.lit(None))
-        .when(~V.is_object(doc), NOT_AN_OBJECT)
+        F.when(soft | F.col("named"), F.lit(None))
+        .when(~V.is_object(document), NOT_AN_OBJECT)
         .when(~source_type.isin(*with_profile), F.lit(None))
-        .when((source_type != "hashtag") & ~V.flag(item), MISSING_PROFILE)
+        .when(source_type.isin(*wrapping) & ~V.truthy(V.node(document, "profile_item")), MISSING_PROFILE)
         .otherwise(MISSING_AUTHOR)
     )
     judged = V.evaluate_once(
-        shaped,
-        [*landed, "item", "listed"],
+        weighed,
+        [*landed, "payload"],
         soft_failure=soft,
-        reason=F.when(soft, F.coalesce(V.text(doc, "reason"), F.lit(FETCH_FAILED))),
+        reason=F.when(soft, F.coalesce("given_reason", F.lit(FETCH_FAILED))),
         error=error,
     )
-    ok = ~soft & F.col("error").isNull()
-    return judged.select(
-        *landed,
-        F.when(soft, FAILED_FETCH)
+    outcome = (
+        F.when(F.col("soft_failure"), FAILED_FETCH)
         .when(F.col("error").isNotNull(), FAILED)
         .otherwise(PARSED)
-        .alias("outcome"),
-        "error",
-        "reason",
-        F.when(ok, item).alias("profile_item"),
-        F.when(ok, F.col("listed")).alias("video_items"),
     )
+    return judged.select(*landed, "payload", outcome.alias("outcome"), "error", "reason")
 
 
-def profiles(parsed: DataFrame) -> DataFrame:
+def profiles(parsed: DataFrame, shapes: dict[str, Shape] = SHAPES) -> DataFrame:
     """The profile of each parsed payload that carries one, keyed by its landing row."""
-    return parsed.where((F.col("outcome") == PARSED) & F.col("profile_item").isNotNull()).select(
+    cases = {name: shape for name, shape in shapes.items() if shape.profile}
+    item = _by_shape(
+        F.col("source_type"), {name: shape.profile(F.col("payload")) for name, shape in cases.items()}
+    )
+    readable = parsed.where((F.col("outcome") == PARSED) & F.col("source_type").isin(*cases))
+    return readable.select("*", item.alias("item")).select(
         "raw_id",
         "fetched_at",
         F.col("platform").alias("landed_platform"),
         F.col("external_id").alias("landed_external_id"),
-        *profile_fields(F.col("profile_item")),
+        *profile_fields(F.col("item")),
     )
 
 
-def videos(parsed: DataFrame) -> DataFrame:
-    """Every video of every payload; an item without an id is skipped, an ad is kept."""
-    listed = parsed.select(
-        "raw_id", "platform", "external_id", "fetched_at", F.posexplode("video_items").alias("pos", "item")
+_LANDING = ("raw_id", "platform", "external_id", "fetched_at")
+
+
+def _video_lists(parsed: DataFrame, shapes: dict[str, Shape]) -> DataFrame:
+    listed = _by_shape(
+        F.col("source_type"), {name: shape.videos(F.col("payload")) for name, shape in shapes.items()}
     )
-    return listed.where(V.flag(F.col("item"), "id")).select(
-        "raw_id", "platform", "external_id", "fetched_at", "pos", *video_fields(F.col("item"))
+    return V.evaluate_once(parsed.where(F.col("outcome") == PARSED), _LANDING, video_items=listed)
+
+
+def videos(parsed: DataFrame, shapes: dict[str, Shape] = SHAPES) -> DataFrame:
+    """Every video of every payload; an item without an id is skipped, an ad is kept."""
+    listed = _video_lists(parsed, shapes).select(
+        *_LANDING, F.posexplode("video_items").alias("pos", "item")
     )
+    return listed.where(V.truthy(F.col("item.id"))).select(*_LANDING, "pos", *video_fields(F.col("item")))
 
 
-def first_videos(parsed: DataFrame) -> DataFrame:
+def first_videos(parsed: DataFrame, shapes: dict[str, Shape] = SHAPES) -> DataFrame:
     """The leading video of each payload, when it has an id."""
-    lead = parsed.select("raw_id", F.get("video_items", F.lit(0)).alias("item"))
-    return lead.where(V.flag(F.col("item"), "id")).select("raw_id", *video_fields(F.col("item")))
+    lead = _video_lists(parsed, shapes).select("raw_id", F.get("video_items", F.lit(0)).alias("item"))
+    return lead.where(V.truthy(F.col("item.id"))).select("raw_id", *video_fields(F.col("item")))
 
 
 def errors(parsed: DataFrame) -> DataFrame:
