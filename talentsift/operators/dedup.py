@@ -13,11 +13,30 @@ from talentsift.rules import ACTIVE, PENDING
 
 CREATOR_KEY = ("platform", "external_id")
 
+# Most keys that may be broadcast at once; counted, not estimated.
+BROADCAST_KEYS = 500_000
+
 
 def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     return latest(rows, keys, order)
 
 
+def stored_matches(
+    stored: DataFrame, keys_wanted: DataFrame, keys: Sequence[str], most: int = BROADCAST_KEYS
+) -> DataFrame:
+    """Keys of a long history that can matter to one batch.
+
+    A counted few keys are broadcast, so the history is scanned in place
+    instead of shuffled. With more keys than ``most`` the whole history is
+    returned and the join that follows shuffles it. Either way no key is lost.
+    """
+    wanted = keys_wanted.select(*keys)
+    history = stored.select(*keys)
+    if wanted.limit(most + 1).count() > most:
+        return history
+    return history.join(F.broadcast(wanted), list(keys), "left_semi")
+
+
 def insert_if_absent(
     incoming: DataFrame, existing: DataFrame, keys: Sequence[str], order: Sequence[Column]
 ) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -36,9 +37,12 @@ def write_version(rows: DataFrame, path: str, version: int) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(target)
 
 
-def read_batches(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """All micro-batches of a table, with their ``batch_id``."""
-    reader = spark.read.option("basePath", path)
-    if schema:
-        reader = reader.schema(f"{schema.strip()}, batch_id bigint")
-    return reader.parquet(path)
+def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """All micro-batches of a table, with their ``batch_id``; empty when no batch has run."""
+    full = f"{schema.strip()}, batch_id bigint"
+    try:
+        return spark.read.option("basePath", path).schema(full).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], full)

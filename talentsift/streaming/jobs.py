@@ -64,9 +64,11 @@ def parse_landed(raw: DataFrame, folder: str, as_of: Column) -> None:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        known = _earlier(spark, f"{folder}/videos", batch_id, schemas.VIDEOS).select("video_id")
         parsed = parsing.parse_payloads(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        listed_ids = parsing.videos(parsed).select("video_id").distinct().persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            history = _earlier(spark, f"{folder}/videos", batch_id, schemas.VIDEOS)
+            known = dedup.stored_matches(history, listed_ids, ["video_id"])
             rows = enrich(parsed, known, as_of)
             write_batch(rows.profile_snapshots, f"{folder}/profile_snapshots", batch_id)
             write_batch(rows.videos, f"{folder}/videos", batch_id)
@@ -75,6 +77,7 @@ def parse_landed(raw: DataFrame, folder: str, as_of: Column) -> None:
             creators = _previous_version(spark, f"{folder}/creators", batch_id, schemas.CREATORS)
             write_version(dedup.upsert_creators(creators, rows.sightings), f"{folder}/creators", batch_id)
         finally:
+            listed_ids.unpersist()
             parsed.unpersist()
 
     drain(raw, folder, write)
@@ -99,10 +102,17 @@ def enqueue_sightings(items: DataFrame, folder: str, delay: str) -> DataFrame:
     fresh = authors.dropDuplicatesWithinWatermark(["platform", "external_id"])
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        queue = _earlier(spark, queue_path, batch_id, _QUEUE_KEYS)
-        order = [F.asc("query"), F.asc("pos")]
-        added = dedup.enqueue(batch.select("platform", "external_id", "handle", "query", "pos"), queue, order)
-        write_batch(added.drop("query", "pos"), queue_path, batch_id)
+        incoming = batch.select("platform", "external_id", "handle", "query", "pos").persist(
+            StorageLevel.MEMORY_AND_DISK
+        )
+        try:
+            pending = _earlier(spark, queue_path, batch_id, _QUEUE_KEYS).where(F.col("status") == PENDING)
+            queued = dedup.stored_matches(pending, incoming.distinct(), dedup.CREATOR_KEY)
+            order = [F.asc("query"), F.asc("pos")]
+            added = dedup.enqueue(incoming, queued.withColumn("status", F.lit(PENDING)), order)
+            write_batch(added.drop("query", "pos"), queue_path, batch_id)
+        finally:
+            incoming.unpersist()
 
     drain(fresh, folder, write)
     return read_batches(spark, queue_path, _QUEUE_KEYS).where(F.col("status") == PENDING)

@@ -78,6 +78,22 @@ def test_rerun_batch_writes_the_same_tables(spark, tmp_path, monkeypatch):
     jobs.parse_landed(raw, folder, F.col("fetched_at"))
 
 
+def test_stream_without_input_gives_empty_tables(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    schema = spark.read.parquet(f"{FOLDER}/events.parquet").schema
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "empty"))
+    queued = jobs.enqueue_sightings(Samples(spark, FOLDER).search_items(stream), str(tmp_path / "q"), "1 minute")
+    assert queued.count() == 0
+
+
+def test_history_is_narrowed_only_within_the_bound(spark):
+    history = spark.createDataFrame([(i, "x") for i in range(50)], "k int, rest string")
+    wanted = spark.createDataFrame([(3,), (60,), (7,)], "k int")
+    narrowed = dedup.stored_matches(history, wanted, ["k"], most=3)
+    assert rows(narrowed) == [(3,), (7,)]
+    assert dedup.stored_matches(history, wanted, ["k"], most=2).count() == 50
+
+
 def test_queue_stream_equals_batch_over_many_triggers(spark, sliced, tmp_path):
     samples = Samples(spark, FOLDER)
     queued = jobs.enqueue_sightings(samples.search_items(sliced("events", "event_id")), str(tmp_path / "q"), "1 minute")
