@@ -26,7 +26,7 @@ from talentsift.operators.latest import (
 )
 from talentsift.plans import discover, enrich, handoff, score
 from talentsift.rules import HASHTAG_SOURCE, PENDING, Rules
-from talentsift.session import ENGINE_CONF, shared_folder
+from talentsift.session import prepare, shared_folder
 from talentsift.sources.samples import (
     BIO_RULES,
     EVENTS_AS_OF,
@@ -66,7 +66,7 @@ def query(build: Callable[[Samples], DataFrame]) -> Callable[[Samples], DataFram
     """Register a query under its function name."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", ENGINE_CONF["spark.sql.session.timeZone"])
+        prepare(spark)
         return portable(build(Samples(spark, sf_dir)))
 
     QUERIES[build.__name__] = run

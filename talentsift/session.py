@@ -9,10 +9,17 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Settings the library relies on whoever built the session. HotSpot never compiles methods
+# above 8000 bytes, which fused JSON projections exceed; below that limit Spark splits them.
+RUNTIME_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
 # Sizes stay under adaptive control: the planned partition count is only the
 # upper bound that AQE coalesces from, and skewed join partitions are split.
 ENGINE_CONF = {
-    "spark.sql.session.timeZone": "UTC",
+    **RUNTIME_CONF,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -21,6 +28,12 @@ ENGINE_CONF = {
 }
 
 
+def prepare(spark: SparkSession) -> None:
+    """Apply the runtime settings to a session built elsewhere."""
+    for key, value in RUNTIME_CONF.items():
+        spark.conf.set(key, value)
+
+
 def build_session(app_name: str = "talentsift", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
