@@ -115,12 +115,17 @@ def sightings(parsed: DataFrame, as_of: Column) -> DataFrame:
     return parsing.handled(parsed).select("platform", "external_id", as_of.alias("seen_at"))
 
 
-def enrich(parsed: DataFrame, existing_videos: DataFrame, as_of: Column) -> Enrichment:
-    """All outputs of one batch. Persist ``parsed`` first when writing more than one of them.
-
-    ``as_of`` stamps the rows: a literal for a run, or ``fetched_at`` for a backfill.
+def enrich(
+    parsed: DataFrame, existing_videos: DataFrame, as_of: Column, listed: DataFrame | None = None
+) -> Enrichment:
+    """All outputs of one batch.
+
+    ``as_of`` stamps the rows: a literal for a run, or ``fetched_at`` for a
+    backfill. A caller that writes several outputs persists ``parsed`` and its
+    videos and passes the latter as ``listed``, so that payloads are read once.
     """
-    listed = parsing.videos(parsed)
+    if listed is None:
+        listed = parsing.videos(parsed)
     return Enrichment(
         profile_snapshots=profile_snapshots(parsed, as_of),
         videos=new_videos(listed, existing_videos, as_of),

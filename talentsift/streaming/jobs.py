@@ -65,11 +65,11 @@ def parse_landed(raw: DataFrame, folder: str, as_of: Column) -> None:
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         parsed = parsing.parse_payloads(batch).persist(StorageLevel.MEMORY_AND_DISK)
-        listed_ids = parsing.videos(parsed).select("video_id").distinct().persist(StorageLevel.MEMORY_AND_DISK)
+        listed = parsing.videos(parsed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             history = _earlier(spark, f"{folder}/videos", batch_id, schemas.VIDEOS)
-            known = dedup.stored_matches(history, listed_ids, ["video_id"])
-            rows = enrich(parsed, known, as_of)
+            known = dedup.stored_matches(history, listed.select("video_id").distinct(), ["video_id"])
+            rows = enrich(parsed, known, as_of, listed)
             write_batch(rows.profile_snapshots, f"{folder}/profile_snapshots", batch_id)
             write_batch(rows.videos, f"{folder}/videos", batch_id)
             write_batch(rows.video_snapshots, f"{folder}/video_snapshots", batch_id)
@@ -77,7 +77,7 @@ def parse_landed(raw: DataFrame, folder: str, as_of: Column) -> None:
             creators = _previous_version(spark, f"{folder}/creators", batch_id, schemas.CREATORS)
             write_version(dedup.upsert_creators(creators, rows.sightings), f"{folder}/creators", batch_id)
         finally:
-            listed_ids.unpersist()
+            listed.unpersist()
             parsed.unpersist()
 
     drain(raw, folder, write)
