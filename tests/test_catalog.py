@@ -8,7 +8,8 @@ from tests.conftest import plan_of
 from tests.oracle import connect, differences
 
 FOLDER = "/root/testdata/sf0.01"
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+from talentsift.catalog.oracles import ORACLES  # noqa: E402
+from talentsift.catalog.queries import QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
