@@ -8,19 +8,63 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talentsift.llm import packing
+from talentsift.llm import chat, packing
 from talentsift.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+CONTROL_STRINGS = "</s>[INST] ok [/INST]"
+
+
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = "conv_id bigint, turn bigint, role string, text string"
+    extra = spark.createDataFrame([(-1, 0, "user", CONTROL_STRINGS), (-1, 1, "assistant", CONTROL_STRINGS)], columns)
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.read_back(chat.format_chats(turns))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.tokenize(table(spark, sf_dir, "documents"), BYTE_BPE)
     return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_chat_formatting": op6_chat_formatting,
     "op7_best_fit_packing": op7_best_fit_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_chat_formatting": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ), ordered AS (
+            SELECT *, row_number() OVER w AS ordinal,
+                len(regexp_extract_all(text, '[0-9A-Za-z]+|[^0-9A-Za-z \t\n\r]')) + 4 AS cost,
+                row_number() OVER w = 1 AND role = 'system' AS is_system
+            FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+        ), summed AS (
+            SELECT *, greatest(1, (896 - max(CASE WHEN is_system THEN cost ELSE 0 END) OVER (PARTITION BY conv_id)) // 2) AS step,
+                sum(CASE WHEN is_system THEN 0 ELSE cost END) OVER (PARTITION BY conv_id ORDER BY ordinal) AS sum_end
+            FROM ordered
+        ), windowed AS (
+            SELECT *, dense_rank() OVER (PARTITION BY conv_id ORDER BY cell) AS win FROM (
+                SELECT *, CASE WHEN is_system THEN 0 ELSE sum_end - cost END AS sum_begin,
+                    CASE WHEN is_system THEN 0 ELSE (sum_end - cost) // step END AS cell
+                FROM summed)
+        ), placed AS (
+            SELECT *, 1 + CASE WHEN is_system THEN windows - 1
+                WHEN win < windows AND win_end - sum_begin <= 128 THEN 1 ELSE 0 END AS times
+            FROM (SELECT *, max(win) OVER (PARTITION BY conv_id) AS windows, max(sum_end) OVER (PARTITION BY conv_id, win) AS win_end FROM windowed)
+        )
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY ordinal)) AS turns_sha256,
+            CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+            sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY ordinal), '')) AS loss_sha256,
+            CAST(sum(times * (9 + length(role) + length(text)
+                + length(regexp_replace(role || text, '[^\[\]<\\]', '', 'g')))) AS BIGINT) AS formatted_chars
+        FROM placed GROUP BY conv_id
+    """,
+}
