@@ -8,12 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talentsift.llm import chat, packing, topk
+from talentsift.llm import chat, lines, packing, token_counts, topk
 from talentsift.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_edit_aware_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trees = token_counts.build_trees(table(spark, sf_dir, "documents"), BYTE_BPE)
+    return token_counts.apply_edits(token_counts.redactions(trees), BYTE_BPE).drop("text")
+
+
+def op2_site_relative_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", lines.host_of(F.col("url")).alias("host"), lines.page_text(F.col("html")).alias("text"))
+    return lines.drop_boilerplate(pages)
+
+
 def op4_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -34,12 +44,39 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_edit_aware_token_counts": op1_edit_aware_token_counts,
+    "op2_site_relative_lines": op2_site_relative_lines,
     "op4_threshold_top_k": op4_threshold_top_k,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_best_fit_packing": op7_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_site_relative_lines": r"""
+        WITH texts AS (
+            SELECT page_id, coalesce(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)', 1)), '') AS host, url,
+                regexp_replace(regexp_replace(regexp_replace(html,
+                    '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->', '', 'g'),
+                    '(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|th|thead|title|tr|ul)(?:\s[^>]*|/)?>', chr(10), 'g'),
+                    '<[^>]+>', '', 'g') AS text,
+                row_number() OVER () AS page
+            FROM pages
+        ), rows AS (
+            SELECT page, host, line, pos FROM (
+                SELECT page, host, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM texts)
+        ), boilerplate AS (
+            SELECT host, key FROM (SELECT DISTINCT page, host, trim(line, ' ') AS key FROM rows WHERE trim(line, ' ') <> '')
+            JOIN (SELECT host, count(*) AS pages FROM texts GROUP BY host) USING (host)
+            GROUP BY host, key HAVING count(*) >= 5 AND count(*) > max(pages) * 0.1
+        ), marked AS (
+            SELECT rows.*, boilerplate.key IS NOT NULL AS gone FROM rows
+            LEFT JOIN boilerplate ON rows.host = boilerplate.host AND trim(line, ' ') = boilerplate.key
+        )
+        SELECT any_value(page_id) AS page_id, any_value(CASE WHEN url IS NOT NULL THEN texts.host END) AS host,
+            any_value(CASE WHEN text IS NOT NULL THEN '' END) || coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text,
+            count(line) AS n_lines, count(*) FILTER (gone) AS n_dropped
+        FROM texts LEFT JOIN marked USING (page) GROUP BY page
+    """,
     "op4_threshold_top_k": """
         WITH v AS (
             SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
