@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talentsift.llm import chat, lines, packing, token_counts, topk
+from talentsift.llm import chat, lines, packing, repeats, token_counts, topk
 from talentsift.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -43,12 +43,18 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_edit_aware_token_counts": op1_edit_aware_token_counts,
     "op2_site_relative_lines": op2_site_relative_lines,
     "op4_threshold_top_k": op4_threshold_top_k,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
 ORACLES: dict[str, str] = {

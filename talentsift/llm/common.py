@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import functools
 import json
+import shutil
+import tempfile
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 from talentsift.session import shared_folder
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 END_OF_TEXT = "<|endoftext|>"
 
 # Split pattern of the public byte-level BPE vocabularies (fixed value).
@@ -28,7 +32,12 @@ def stored(rows: DataFrame, purpose: str) -> DataFrame:
     """
     spark = rows.sparkSession
     folder = shared_folder(spark, purpose)
-    rows.write.parquet(folder)
+    cleanup = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")  # the shuffle files of a finished step are of no further use
+    try:
+        rows.write.parquet(folder)
+    finally:
+        spark.conf.set(CLEANUP, cleanup)
     return spark.read.schema(rows.schema).parquet(folder)
 
 
@@ -40,7 +49,21 @@ def forget(rows: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package's code to the workers, once per application; the driver serves the archive."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
