@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talentsift.llm import chat, lines, packing, repeats, token_counts, topk
+from talentsift.llm import chat, lines, near_dups, packing, repeats, token_counts, topk
 from talentsift.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -28,6 +28,10 @@ def op4_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op5_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 CONTROL_STRINGS = "</s>[INST] ok [/INST]"
 
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_edit_aware_token_counts": op1_edit_aware_token_counts,
     "op2_site_relative_lines": op2_site_relative_lines,
     "op4_threshold_top_k": op4_threshold_top_k,
+    "op5_dart_minhash": op5_dart_minhash,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
