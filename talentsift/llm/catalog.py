@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talentsift.llm import chat, decontaminate, lines, near_dups, packing, repeats, token_counts, topk
+from talentsift.llm import chat, decontaminate, lines, near_dups, packing, quality, repeats, token_counts, topk
 from talentsift.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,6 +24,10 @@ def op2_site_relative_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_boilerplate(pages)
 
 
+def op3_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -59,6 +63,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_edit_aware_token_counts": op1_edit_aware_token_counts,
     "op2_site_relative_lines": op2_site_relative_lines,
+    "op3_attention_quality": op3_attention_quality,
     "op4_threshold_top_k": op4_threshold_top_k,
     "op5_dart_minhash": op5_dart_minhash,
     "op6_chat_formatting": op6_chat_formatting,
