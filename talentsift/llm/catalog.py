@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talentsift.llm import chat, decontaminate, lines, near_dups, packing, quality, repeats, token_counts, topk
+from talentsift.llm import chat, decontaminate, lines, near_dups, packing, quality, repeats, token_counts, topk, toxicity
 from talentsift.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -51,6 +51,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
+def op8_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_block_max_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_dart_minhash": op5_dart_minhash,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_crf_toxicity": op8_crf_toxicity,
     "op9_block_max_wand": op9_block_max_wand,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }

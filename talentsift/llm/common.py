@@ -6,6 +6,7 @@ import functools
 import json
 import shutil
 import tempfile
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
@@ -67,6 +68,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def chunks(bodies: list[bytes], size: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbouring texts of about ``size`` bytes together; a longer text is a range of its own."""
+    start, held = 0, 0
+    for k, body in enumerate(bodies):
+        held += len(body)
+        if held >= size:
+            yield start, k + 1
+            start, held = k + 1, 0
+    if start < len(bodies):
+        yield start, len(bodies)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit scrambler, the same in every process."""
     with np.errstate(over="ignore"):

@@ -27,12 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talentsift.llm.common import prefix_hash, shingle_hashes, span_hash, word_spans
+from talentsift.llm.common import chunks, prefix_hash, shingle_hashes, span_hash, word_spans
 
 MATCHES = "doc_id bigint, item_id bigint, score double, overlap double, question_overlap double, answer_overlap double"
 ITEMS_PER_BLOCK = 16
 SHARD_BYTES = 1 << 20
-CHUNK_BYTES = 1 << 20
 PART_WORDS = 256
 K1, B = 1.2, 0.75
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
@@ -169,12 +168,7 @@ def _scan(docs: DataFrame, index: ImpactIndex, settings: Settings) -> DataFrame:
         held = shared.value
         for batch in batches:
             ids, bodies = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            at = 0
-            while at < len(bodies):
-                end, size = at, 0
-                while end < len(bodies) and size < CHUNK_BYTES:
-                    size += len(bodies[end])
-                    end += 1
+            for at, end in chunks(bodies):
                 words, text = hashed_words(bodies[at:end])
                 out = []
                 bounds = np.searchsorted(text, np.arange(end - at + 1))
@@ -188,7 +182,6 @@ def _scan(docs: DataFrame, index: ImpactIndex, settings: Settings) -> DataFrame:
                     kinds = (pa.int64(), pa.int64(), *(pa.float64(),) * 4)
                     names = ["doc_id", "item_id", "score", "overlap", "question_overlap", "answer_overlap"]
                     yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
-                at = end
 
     body = F.lower(F.coalesce(F.col("text"), F.lit(""))).cast("binary")
     return docs.select(F.col("doc_id").cast("long"), body).mapInArrow(scan, MATCHES)

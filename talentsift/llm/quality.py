@@ -17,13 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talentsift.llm.common import prefix_hash, span_hash, word_spans
+from talentsift.llm.common import chunks, prefix_hash, span_hash, word_spans
 from talentsift.llm.labelled import held_out, training_sample
 
 SCORES = "doc_id bigint, score double, passages bigint, top_passage bigint, top_weight double"
 TRAINING_ROWS = 3000
 PASSAGE_BYTES = 512
-CHUNK_BYTES = 1 << 20
 HIDDEN, GATE = 24, 12
 EXTRA = 8
 
@@ -125,7 +124,9 @@ def train(texts: list[tuple[str, int]], *, epochs: int = 30, batch: int = 128, s
     labels = np.array([y for _, y in texts], np.float64)
     if len(labels) == 0 or labels.min() == labels.max():
         return AttentionModel(np.zeros(1), np.ones(1), {}, prior=float(labels.mean()) if len(labels) else 0.5)
-    x, owner = passages([t.encode() for t, _ in texts])
+    bodies = [t.encode() for t, _ in texts]
+    parts = [(*passages(bodies[a:b]), a) for a, b in chunks(bodies)]
+    x, owner = np.concatenate([x for x, _, _ in parts]), np.concatenate([o + a for _, o, a in parts])
     model = AttentionModel(x.mean(axis=0), np.maximum(x.std(axis=0), 1e-3), {})
     rng = np.random.default_rng(seed)
     draw = lambda n, m: rng.normal(0, np.sqrt(1 / n), (n, m))
@@ -158,12 +159,8 @@ def score(docs: DataFrame, model: AttentionModel) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bodies, at = batch.column(1).to_pylist(), 0
-            while at < len(bodies):
-                end, size = at, 0
-                while end < len(bodies) and size < CHUNK_BYTES:
-                    size += len(bodies[end])
-                    end += 1
+            bodies = batch.column(1).to_pylist()
+            for at, end in chunks(bodies):
                 x, owner = passages(bodies[at:end])
                 scores, weight, begin = model.score(x, owner, end - at)
                 counts = np.diff(np.append(begin, len(owner)))
@@ -172,7 +169,6 @@ def score(docs: DataFrame, model: AttentionModel) -> DataFrame:
                     [batch.column(0).slice(at, end - at), pa.array(scores), pa.array(counts), pa.array(top), pa.array(weight[begin + np.array(top)])],
                     names=["doc_id", "score", "passages", "top_passage", "top_weight"],
                 )
-                at = end
 
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), body).mapInArrow(scan, SCORES)
@@ -205,14 +201,8 @@ def drop_rejected(docs: DataFrame, labels: DataFrame, *, rows: int = TRAINING_RO
     def quality(text):
         bodies = [t.encode() for t in text.fillna("")]
         out = np.empty(len(bodies))
-        at = 0
-        while at < len(bodies):
-            end, size = at, 0
-            while end < len(bodies) and size < CHUNK_BYTES:
-                size += len(bodies[end])
-                end += 1
+        for at, end in chunks(bodies):
             out[at:end] = model.score(*passages(bodies[at:end]), end - at)[0]
-            at = end
         return type(text)(out)
 
     return docs.withColumn("_quality", quality("text")).where(F.col("_quality") >= 0.5).drop("_quality")
