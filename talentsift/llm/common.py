@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from talentsift.session import shared_folder
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-END_OF_TEXT = "<|endoftext|>"
 
 # Split pattern of the public byte-level BPE vocabularies (fixed value).
 BYTE_BPE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -168,23 +167,25 @@ class ByteBpe:
 
     The vocabulary of such a file lists tokens in merge order, so its ids are
     ranks. Tests hold the ids against ``tokenizers`` itself. With
-    ``special=True`` the end-of-text string is one id, as the library does by
-    default; otherwise it is ordinary text.
+    ``special=True`` the string of a special token is one id, as the library
+    does by default; otherwise it is ordinary text.
     """
 
     def __init__(self, path: str, special: bool = True):
         import tiktoken
 
         with open(path, encoding="utf-8") as file:
-            vocabulary = json.load(file)["model"]["vocab"]
+            content = json.load(file)
+        vocabulary = content["model"]["vocab"]
+        added = {token["content"]: token["id"] for token in content["added_tokens"] if token["special"]}
         alphabet = _byte_alphabet()
-        ranks = {bytes(alphabet[c] for c in token): i for token, i in vocabulary.items() if token != END_OF_TEXT}
-        self.special = special and END_OF_TEXT in vocabulary
-        extra = {END_OF_TEXT: vocabulary[END_OF_TEXT]} if self.special else {}
+        ranks = {bytes(alphabet[c] for c in token): i for token, i in vocabulary.items() if token not in added}
+        self.special = list(added) if special else []
+        extra = added if special else {}
         self.engine = tiktoken.Encoding("byte_bpe", pat_str=BYTE_BPE_PATTERN, mergeable_ranks=ranks, special_tokens=extra)
 
     def ids(self, text: str) -> list[int]:
-        if self.special and END_OF_TEXT in text:
+        if any(token in text for token in self.special):
             return self.engine.encode(text, allowed_special="all")
         return self.engine.encode_ordinary(text)
 
