@@ -73,11 +73,38 @@ def _complements(gap: int, left: dict[int, int], pairs: dict[int, list[tuple[int
                 yield (part, *pair)
 
 
+def best_fit(left: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Best-fit decreasing on counts: equal lengths fill the smallest gaps that hold them, class by class."""
+    patterns: list[tuple[tuple[int, ...], int]] = []
+    open_ones: dict[int, Counter] = defaultdict(Counter)  # gap -> patterns
+    for length in sorted((k for k, n in left.items() if n > 0), reverse=True):
+        count = left[length]
+        while count:
+            gap = min((g for g, held in open_ones.items() if held and g >= length), default=None)
+            if gap is None:
+                fit = capacity // length
+                whole, rest = divmod(count, fit)
+                for size, times in ((fit, whole), (rest, 1)):
+                    if size and times:
+                        open_ones[capacity - fit * length if size == fit else capacity - size * length][(length,) * size] += times
+                break
+            pattern, n = next(iter(open_ones[gap].items()))
+            times = min(n, count)
+            open_ones[gap][pattern] -= times
+            open_ones[gap] = +open_ones[gap]
+            open_ones[gap - length][(*pattern, length)] += times
+            count -= times
+    patterns += [(p, n) for held in open_ones.values() for p, n in held.items()]
+    return patterns
+
+
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
     """Patterns of lengths with how often each is used; together they use every count up.
 
     Each step empties one length or one class of open sequences, so the plan
-    has a few entries per length whatever the counts are.
+    has a few entries per length whatever the counts are. Where few lengths
+    occur, filling gaps exactly can cost more than it saves; then best-fit
+    over all counts is the plan, if it needs fewer sequences.
     """
     left = {k: n for k, n in counts.items() if n > 0}
     lengths = sorted(left, reverse=True)
@@ -104,27 +131,8 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], i
             if not left[length]:
                 break
             use((length, *others))
-
-    open_ones: dict[int, Counter] = defaultdict(Counter)  # gap -> patterns
-    for length in lengths:
-        while left[length]:
-            gap = min((g for g, patterns in open_ones.items() if patterns and g >= length), default=None)
-            if gap is None:
-                fit = capacity // length
-                whole, rest = divmod(left[length], fit)
-                open_ones[capacity - fit * length][(length,) * fit] += whole
-                if rest:
-                    open_ones[capacity - rest * length][(length,) * rest] += 1
-                left[length] = 0
-                open_ones = defaultdict(Counter, {g: +p for g, p in open_ones.items()})
-            else:
-                pattern, n = next(iter(open_ones[gap].items()))
-                times = min(n, left[length])
-                open_ones[gap][pattern] -= times
-                open_ones[gap] = +open_ones[gap]
-                open_ones[gap - length][(*pattern, length)] += times
-                left[length] -= times
-    return used + [(p, n) for patterns in open_ones.values() for p, n in patterns.items()]
+    exact, plain = used + best_fit(left, capacity), best_fit(counts, capacity)
+    return min(exact, plain, key=lambda patterns: sum(n for _, n in patterns))
 
 
 def slots(patterns: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int, int, int, int]]:
