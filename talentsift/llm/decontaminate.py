@@ -209,5 +209,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Set
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The documents, with all their columns, in which no test item was found; null ids are matched as one id."""
-    found = contaminated(docs, benchmark, settings).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("_found")), "left_anti")
+    found = contaminated(docs, benchmark, settings).select(F.col("doc_id").alias("found")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"))
+    return rows.join(found, F.col("id").eqNullSafe(F.col("found")), "left_anti").select("row.*")

@@ -336,10 +336,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
 def keep_one(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One row of each class, with all its columns: of the smallest id and, among its rows, the smallest text."""
-    kept = classes(docs, settings).where("id = class_id").select(F.col("id").alias("_node"))
-    named = node_key(docs.select("doc_id", "text")).select(F.col("node").alias("_node"), F.coalesce("text", F.lit("")).alias("_text"))
-    lowest = named.groupBy("_node").agg(F.min("_text").alias("_text")).join(kept, "_node")
-    keyed = docs.withColumn("_text", F.coalesce("text", F.lit(""))).withColumn(
-        "_node", F.coalesce(F.col("doc_id").cast("long"), -F.shiftrightunsigned(F.xxhash64("_text"), 1) - 1)
-    )
-    return keyed.join(lowest, ["_node", "_text"], "left_semi").dropDuplicates(["_node", "_text"]).drop("_node", "_text")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    keyed = node_key(docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))).select("node", text.alias("text"), "row")
+    kept = classes(docs, settings).where("id = class_id").select(F.col("id").alias("node"))
+    lowest = keyed.groupBy("node").agg(F.min("text").alias("text")).join(kept, "node")
+    return keyed.join(lowest, ["node", "text"], "left_semi").dropDuplicates(["node", "text"]).select("row.*")

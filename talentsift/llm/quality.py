@@ -205,4 +205,5 @@ def drop_rejected(docs: DataFrame, labels: DataFrame, *, rows: int = TRAINING_RO
             out[at:end] = model.score(*passages(bodies[at:end]), end - at)[0]
         return type(text)(out)
 
-    return docs.withColumn("_quality", quality("text")).where(F.col("_quality") >= 0.5).drop("_quality")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), quality("text").alias("quality"))
+    return rows.where(F.col("quality") >= 0.5).select("row.*")
