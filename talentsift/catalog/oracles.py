@@ -354,6 +354,35 @@ def _tier_rows(as_of: str) -> str:
         FROM sla LEFT JOIN by_tier USING (tier)"""
 
 
+def _check_rows(tiers_as_of: str, joiner: str = ",") -> str:
+    """All ten checks. Rates are shown with one digit, halves away from zero, by whole-number arithmetic."""
+
+    def rate(noun: str, allowed: str) -> str:
+        tenths = "(2000 * failed + total) // (2 * total)"
+        return (
+            f"failed || '/' || total || ' {noun} (' || {tenths} // 10 || '.' || {tenths} % 10 || '%, threshold {allowed}%)'"
+        )
+
+    return f"""
+        {joiner} q AS (SELECT count(*) FILTER (WHERE status = 'failed') AS failed, count(*) AS total,
+                       count(*) FILTER (WHERE error ILIKE '%402%' OR error ILIKE '%rate limit%') AS quota FROM queue),
+        p AS (SELECT count(*) FILTER (WHERE parse_status = 'failed') AS failed, count(*) AS total,
+                     count(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-30 22:00:00') AS fresh,
+                     count(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-30 00:00:00') AS found FROM payloads)
+        SELECT 'discovery_freshness' AS name, found >= 1 AS passed, CAST(found AS DOUBLE) AS measured,
+               CAST(1 AS DOUBLE) AS allowed, found || ' discovery events in the last 24h (expected >= 1)' AS message FROM p
+        UNION ALL SELECT 'ingestion_freshness', fresh >= 1, CAST(fresh AS DOUBLE), 1,
+                         fresh || ' raw payloads landed in the last 2h (expected >= 1)' FROM p
+        UNION ALL SELECT 'ingestion_health', CAST(failed AS DOUBLE) / total <= CAST(0.2 AS DOUBLE),
+                         CAST(failed AS DOUBLE) / total, CAST(0.2 AS DOUBLE), {rate("ingestion items failed", "20.0")} FROM q
+        UNION ALL SELECT 'quota_exhaustion', quota <= 5, CAST(quota AS DOUBLE), 5,
+                         quota || ' ingestion failures look like quota/rate-limit errors (402/429)'
+                         || CASE WHEN quota > 5 THEN ' — check usage' ELSE '' END FROM q
+        UNION ALL SELECT 'parse_error_rate', CAST(failed AS DOUBLE) / total <= CAST(0.1 AS DOUBLE),
+                         CAST(failed AS DOUBLE) / total, CAST(0.1 AS DOUBLE), {rate("raw payloads failed to parse", "10.0")} FROM p
+        UNION ALL SELECT name, passed, measured, allowed, message FROM ({_tier_rows(tiers_as_of)})"""
+
+
 _GROWTH_ONLY = """
     ranked AS (
         SELECT o_custkey AS creator_id, CAST(o_orderdate AS DATE) AS d, CAST(floor(o_totalprice / 10) AS BIGINT) AS f,
@@ -405,13 +434,15 @@ ORACLES: dict[str, str] = {
     ),
     "error_summary": """
         SELECT o_orderkey AS queue_id,
-               CASE left(o_orderpriority, 1)
-                    WHEN '1' THEN 'HTTP 402 (Apify quota/billing exhausted — check account usage)'
-                    WHEN '2' THEN 'HTTP 404 (actor not found — check APIFY_TIKTOK_ACTOR_ID (slash vs ''~'' form?))'
-                    WHEN '3' THEN 'request timed out'
-                    WHEN '4' THEN 'HTTP 418'
+               CASE WHEN left(o_orderpriority, 1) IN ('1', '2') THEN 'HTTP ' || CASE o_orderkey % 7
+                         WHEN 0 THEN '401 (auth failed)' WHEN 1 THEN '402 (quota exhausted)' WHEN 2 THEN '403 (forbidden)'
+                         WHEN 3 THEN '404 (source not found)' WHEN 4 THEN '429 (rate limited)'
+                         WHEN 5 THEN '500 (server error)' ELSE '503 (service unavailable)' END
+                    WHEN left(o_orderpriority, 1) = '3' THEN 'request timed out'
+                    WHEN left(o_orderpriority, 1) = '4' THEN 'HTTP 418'
                     ELSE 'ValueError: ' || left(repeat('order ' || CAST(o_orderkey AS VARCHAR) || ' refused; ', 20), 200)
-               END AS summary
+               END AS summary,
+               'ValueError: ' || repeat('order ' || CAST(o_orderkey AS VARCHAR) || ' refused; ', 20) AS detail
         FROM orders WHERE o_orderstatus = 'F'
     """,
     "fetch_envelope": _with(_REQUESTS, "SELECT * FROM envelopes"),
@@ -478,7 +509,7 @@ ORACLES: dict[str, str] = {
     ),
     "enrich_snapshots": _with(
         _PAYLOADS,
-        """SELECT raw_id, sha256('tiktok|' || external_id) AS creator_id,
+        """SELECT raw_id, sha256('["tiktok","' || external_id || '"]') AS creator_id,
                   CAST(CAST(ts AS DATE) AS VARCHAR) AS snapshot_date, handle, follower_count,
                   is_verified, is_private, is_commerce_account, scrape_status
            FROM fetched""",
@@ -497,7 +528,7 @@ ORACLES: dict[str, str] = {
     "upsert_creators": _with(
         _PAYLOADS,
         f"""
-        SELECT sha256('tiktok|' || external_id) AS creator_id, 'tiktok' AS platform, external_id,
+        SELECT sha256('["tiktok","' || external_id || '"]') AS creator_id, 'tiktok' AS platform, external_id,
                {_time("min(ts)")} AS first_discovered_at, {_time("max(ts)")} AS last_seen_at,
                CASE WHEN max(ts) >= TIMESTAMP '2024-01-16' THEN 'active' ELSE 'inactive' END AS status
         FROM payloads WHERE outcome <> 'failed' GROUP BY external_id
@@ -506,10 +537,10 @@ ORACLES: dict[str, str] = {
     "upsert_videos": _with(
         _PAYLOADS,
         f"""
-        SELECT video_id, sha256('tiktok|' || external_id) AS creator_id, {_time("posted_at")} AS posted_at, is_ad,
+        SELECT video_id, sha256('["tiktok","' || external_id || '"]') AS creator_id, {_time("posted_at")} AS posted_at, is_ad,
                {_time("ts")} AS first_seen_at
         FROM listed
-        QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY ts, CAST(raw_id AS VARCHAR), pos) = 1
+        QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY ts, raw_id, pos) = 1
         """,
     ),
     "active_creators": _with(_CREATORS, "SELECT creator_id FROM creators WHERE status = 'active'"),
@@ -683,35 +714,13 @@ ORACLES: dict[str, str] = {
         _TIER_AGE, "SELECT tier, CAST(latest_snapshot AS VARCHAR) AS latest_snapshot FROM by_tier"
     ),
     "tier_freshness": _with(_TIER_AGE, _tier_rows("2001-08-01")),
-    "monitor_checks": _with(
-        _QUEUE + "," + _PAYLOADS + "," + _TIER_AGE,
-        f"""
-        , q AS (SELECT count(*) FILTER (WHERE status = 'failed') AS failed, count(*) AS total,
-                       count(*) FILTER (WHERE error ILIKE '%402%' OR error ILIKE '%rate limit%') AS quota FROM queue),
-        p AS (SELECT count(*) FILTER (WHERE parse_status = 'failed') AS failed, count(*) AS total,
-                     count(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-30 22:00:00') AS fresh,
-                     count(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-30 00:00:00') AS found FROM payloads)
-        SELECT 'discovery_freshness' AS name, found >= 1 AS passed, CAST(found AS DOUBLE) AS measured,
-               CAST(1 AS DOUBLE) AS allowed FROM p
-        UNION ALL SELECT 'ingestion_freshness', fresh >= 1, CAST(fresh AS DOUBLE), 1 FROM p
-        UNION ALL SELECT 'ingestion_health', CAST(failed AS DOUBLE) / total <= CAST(0.2 AS DOUBLE),
-                         CAST(failed AS DOUBLE) / total, CAST(0.2 AS DOUBLE) FROM q
-        UNION ALL SELECT 'quota_exhaustion', quota <= 5, CAST(quota AS DOUBLE), 5 FROM q
-        UNION ALL SELECT 'parse_error_rate', CAST(failed AS DOUBLE) / total <= CAST(0.1 AS DOUBLE),
-                         CAST(failed AS DOUBLE) / total, CAST(0.1 AS DOUBLE) FROM p
-        UNION ALL SELECT name, passed, measured, allowed FROM ({_tier_rows("2001-08-01")})
-        """,
-    ),
+    "monitor_checks": _with(_QUEUE + "," + _PAYLOADS + "," + _TIER_AGE, _check_rows("2001-08-01")),
     "monitor_failures": _with(
-        _QUEUE + "," + _TIER_AGE,
+        _QUEUE + "," + _PAYLOADS + "," + _TIER_AGE,
         f"""
-        , quota AS (SELECT count(*) AS n FROM queue WHERE error ILIKE '%402%' OR error ILIKE '%rate limit%')
-        SELECT 'tier_freshness' AS alarm, string_agg(message, '; ' ORDER BY name) AS message
-        FROM ({_tier_rows("2001-09-01")}) WHERE NOT passed HAVING count(*) > 0
-        UNION ALL
-        SELECT 'quota_exhaustion', CAST(n AS VARCHAR) || ' ingestion failures look like quota/rate-limit errors '
-               || '(402/429) — check Apify account usage/billing'
-        FROM quota WHERE n > 5
+        SELECT CASE WHEN name LIKE 'tier_freshness_%' THEN 'tier_freshness' ELSE name END AS alarm,
+               string_agg(message, '; ' ORDER BY name) AS message
+        FROM ({_check_rows("2001-09-01", "WITH")}) WHERE NOT passed GROUP BY alarm
         """,
     ),
     "stream_parse": _with(
@@ -722,18 +731,20 @@ ORACLES: dict[str, str] = {
             UNION ALL
             SELECT 'videos', CAST(is_ad AS VARCHAR) FROM (
                 SELECT is_ad FROM listed
-                QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY ts, CAST(raw_id AS VARCHAR), pos) = 1)
+                QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY ts, raw_id, pos) = 1)
             UNION ALL SELECT 'video_snapshots', video_id FROM listed
             UNION ALL SELECT 'parse_errors', error FROM quarantined
         )
         SELECT written_to, label, count(*) AS n FROM written GROUP BY written_to, label
         """,
     ),
-    "stream_dedup": """
-        SELECT DISTINCT 'tiktok' AS platform, CAST(user_id AS VARCHAR) AS external_id,
-               'user_' || CAST(user_id AS VARCHAR) AS handle, 'pending' AS status
-        FROM events WHERE user_id <> 0
-    """,
+    "stream_dedup": _with(
+        _SEARCH,
+        """
+        SELECT 'tiktok' AS platform, external_id, handle, 'pending' AS status FROM found
+        QUALIFY row_number() OVER (PARTITION BY external_id ORDER BY query, pos) = 1
+        """,
+    ),
     "stream_arrivals": f"""
         WITH hits AS (
             SELECT time_bucket(INTERVAL '15 minutes', ts) - i * INTERVAL '15 minutes' AS window_start

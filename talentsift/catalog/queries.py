@@ -127,6 +127,7 @@ def error_summary(t: Samples) -> DataFrame:
         failures.summarize(
             F.col("kind"), F.col("status_code"), F.col("error_type"), F.col("message"), RULES
         ).alias("summary"),
+        failures.full_text(F.col("error_type"), F.col("message")).alias("detail"),
     )
 
 
@@ -587,7 +588,7 @@ def tier_freshness(t: Samples) -> DataFrame:
     return monitor.tier_checks(t.creator_scores(), t.profile_snapshots(), _at(ORDERS_AS_OF), RULES)
 
 
-def _checks(t: Samples) -> DataFrame:
+def _checks(t: Samples, tiers_as_of: str = ORDERS_AS_OF) -> DataFrame:
     return monitor.all_checks(
         t.discovery_events(),
         t.raw_payloads(),
@@ -596,22 +597,19 @@ def _checks(t: Samples) -> DataFrame:
         t.profile_snapshots(),
         _at(EVENTS_AS_OF),
         RULES,
-        tiers_as_of=_at(ORDERS_AS_OF),
+        tiers_as_of=_at(tiers_as_of),
     )
 
 
 @query
 def monitor_checks(t: Samples) -> DataFrame:
-    """Without the message: percentages in it are rounded for reading only."""
-    return _checks(t).drop("message")
+    return _checks(t)
 
 
 @query
 def monitor_failures(t: Samples) -> DataFrame:
-    """Alarms of the checks, with tier freshness measured a month after the last snapshot."""
-    late = monitor.tier_checks(t.creator_scores(), t.profile_snapshots(), _at("2001-09-01 00:00:00"), RULES)
-    counted = monitor.queue_checks(t.ingestion_queue(), RULES).where(F.col("name") == "quota_exhaustion")
-    return monitor.failed_checks(late.unionByName(counted))
+    """Alarms of all checks, with tier freshness measured a month after the last snapshot."""
+    return monitor.failed_checks(_checks(t, "2001-09-01 00:00:00"))
 
 
 # Streams, run over everything available
@@ -640,7 +638,7 @@ def stream_parse(t: Samples) -> DataFrame:
 @query
 def stream_dedup(t: Samples) -> DataFrame:
     items = t.search_items(jobs.open_stream(t.spark, t.folder, "events"))
-    queued = jobs.enqueue_sightings(items, shared_folder(t.spark, "stream-dedup"), "1 day")
+    queued = jobs.enqueue_sightings(items, shared_folder(t.spark, "stream-dedup"), SEARCH_RULES)
     return queued.select("platform", "external_id", "handle", "status")
 
 
@@ -648,7 +646,7 @@ def stream_dedup(t: Samples) -> DataFrame:
 def stream_arrivals(t: Samples) -> DataFrame:
     rows = t.raw_payloads(jobs.open_stream(t.spark, t.folder, "events")).select("fetched_at")
     folder = shared_folder(t.spark, "stream-arrivals")
-    return jobs.arrival_counts(rows, folder, "fetched_at", "2 hours", "15 minutes", "1 day")
+    return jobs.arrival_counts(rows, folder, "fetched_at", "2 hours", "15 minutes")
 
 
 @query

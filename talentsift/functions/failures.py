@@ -11,7 +11,10 @@ HTTP, TIMEOUT = "http", "timeout"
 
 
 def summarize(kind: Column, status_code: Column, error_type: Column, message: Column, rules: Rules) -> Column:
-    """One line per failure: labelled HTTP status, timeout, or type with the start of its message."""
+    """One line to show per failure: labelled HTTP status, timeout, or type with the start of its message.
+
+    ``full_text`` keeps what the line leaves out.
+    """
     label = F
     for code, meaning in rules.http_labels:
         label = label.when(status_code == code, F.lit(f" ({meaning})"))
@@ -22,6 +25,11 @@ def summarize(kind: Column, status_code: Column, error_type: Column, message: Co
     )
 
 
+def full_text(error_type: Column, message: Column) -> Column:
+    """Type and whole message of a failure, to be stored beside the line; NULL when neither is known."""
+    return F.when(error_type.isNotNull() | message.isNotNull(), F.concat_ws(": ", error_type, message))
+
+
 def is_quota_error(status: Column, error: Column, rules: Rules) -> Column:
     lowered = F.lower(error)
     hit = F.lit(False)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 
 def digest(*parts: Column) -> Column:
-    return F.sha2(F.concat_ws("|", *[part.cast("string") for part in parts]), 256)
+    """A hash that differs whenever any part does: the parts are encoded as a JSON list, which keeps NULL apart."""
+    return F.sha2(F.to_json(F.array(*[part.cast("string") for part in parts])), 256)
 
 
 def creator_key(platform: Column, external_id: Column) -> Column:

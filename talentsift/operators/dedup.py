@@ -13,30 +13,11 @@ from talentsift.rules import ACTIVE, PENDING
 
 CREATOR_KEY = ("platform", "external_id")
 
-# Most keys that may be broadcast at once; counted, not estimated.
-BROADCAST_KEYS = 500_000
-
 
 def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     return latest(rows, keys, order)
 
 
-def stored_matches(
-    stored: DataFrame, keys_wanted: DataFrame, keys: Sequence[str], most: int = BROADCAST_KEYS
-) -> DataFrame:
-    """Keys of a long history that can matter to one batch.
-
-    A counted few keys are broadcast, so the history is scanned in place
-    instead of shuffled. With more keys than ``most`` the whole history is
-    returned and the join that follows shuffles it. Either way no key is lost.
-    """
-    wanted = keys_wanted.select(*keys)
-    history = stored.select(*keys)
-    if wanted.limit(most + 1).count() > most:
-        return history
-    return history.join(F.broadcast(wanted), list(keys), "left_semi")
-
-
 def insert_if_absent(
     incoming: DataFrame, existing: DataFrame, keys: Sequence[str], order: Sequence[Column]
 ) -> DataFrame:
@@ -57,15 +38,31 @@ def enqueue(incoming: DataFrame, queue: DataFrame, order: Sequence[Column]) -> D
     return insert_if_absent(incoming, pending, CREATOR_KEY, order).withColumn("status", F.lit(PENDING))
 
 
+def sighting_range(seen: DataFrame) -> DataFrame:
+    """First and last sighting of each creator in ``(platform, external_id, seen_at)``."""
+    return seen.groupBy(*CREATOR_KEY).agg(
+        F.min("seen_at").alias("first_sighting"), F.max("seen_at").alias("last_sighting")
+    )
+
+
+def merged_ranges(ranges: DataFrame) -> DataFrame:
+    """Ranges of several batches as one per creator."""
+    return ranges.groupBy(*CREATOR_KEY).agg(
+        F.min("first_sighting").alias("first_sighting"), F.max("last_sighting").alias("last_sighting")
+    )
+
+
 def upsert_creators(existing: DataFrame, seen: DataFrame) -> DataFrame:
-    """Next state of the creators table after sightings ``(platform, external_id, seen_at)``.
+    """Next state of the creators table after sightings ``(platform, external_id, seen_at)``."""
+    return upsert_ranges(existing, sighting_range(seen))
+
+
+def upsert_ranges(existing: DataFrame, sightings: DataFrame) -> DataFrame:
+    """Next state of the creators table after sightings given as one range per creator.
 
     A sighting reactivates its creator and moves ``last_seen_at``; the first
     discovery time never changes.
     """
-    sightings = seen.groupBy(*CREATOR_KEY).agg(
-        F.min("seen_at").alias("first_sighting"), F.max("seen_at").alias("last_sighting")
-    )
     joined = existing.join(sightings, list(CREATOR_KEY), "full_outer")
     return joined.select(
         F.coalesce("creator_id", creator_key(F.col("platform"), F.col("external_id"))).alias("creator_id"),

@@ -53,15 +53,13 @@ def first_occurrences(items: DataFrame) -> DataFrame:
     return first_per_key(author_sightings(items), ["query", "external_id"], [F.asc("pos")])
 
 
-@discovery_source(HASHTAG_SOURCE)
-def hashtag_candidates(items: DataFrame, rules: Rules) -> DataFrame:
-    """Candidates of every query at once.
+def qualified(firsts: DataFrame, rules: Rules) -> DataFrame:
+    """Candidates among first occurrences.
 
     The follower floor looks at the first occurrence only, so it must stay
     above the deduplication: a larger later count never rescues an author. An
     unknown count fails the floor; a floor of zero switches it off.
     """
-    firsts = first_occurrences(items)
     if rules.min_followers:
         firsts = firsts.where(F.col("follower_count") >= rules.min_followers)
     return firsts.select(
@@ -74,6 +72,12 @@ def hashtag_candidates(items: DataFrame, rules: Rules) -> DataFrame:
     )
 
 
+@discovery_source(HASHTAG_SOURCE)
+def hashtag_candidates(items: DataFrame, rules: Rules) -> DataFrame:
+    """Candidates of every query at once."""
+    return qualified(first_occurrences(items), rules)
+
+
 def discover(source: str, items: DataFrame, rules: Rules) -> DataFrame:
     return SOURCES[source](items, rules)
 

@@ -12,13 +12,15 @@ def fetch_envelopes(requests: DataFrame, items: DataFrame, rules: Rules) -> Data
     """Payload rows for ``requests (request_id, platform, external_id)``.
 
     ``items (request_id, pos, item)`` holds the response items as JSON text and
-    their position from 0. A response fits one page of ``items_per_fetch``; a
+    their position, counted from the first one that arrived, so every response
+    with items has a first page. A response fits one page of ``items_per_fetch``; a
     longer one continues in ``profile_page`` payloads of the same size, so no
     row grows with the response. No items at all is a soft failure.
     """
-    paged = items.select(
+    first = items.groupBy("request_id").agg(F.min("pos").alias("first_pos"))
+    paged = items.join(first, "request_id").select(
         "request_id",
-        F.floor(F.col("pos") / rules.items_per_fetch).cast("int").alias("page"),
+        F.floor((F.col("pos") - F.col("first_pos")) / rules.items_per_fetch).cast("int").alias("page"),
         F.struct("pos", "item").alias("entry"),
     )
     pages = paged.groupBy("request_id", "page").agg(F.sort_array(F.collect_list("entry")).alias("entries"))

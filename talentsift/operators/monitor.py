@@ -34,6 +34,12 @@ def _arrivals(name: str, count: Column, noun: str, hours: int, rules: Rules) ->
     return _check(name, count >= rules.min_arrivals, count, rules.min_arrivals, text)
 
 
+def _percent(part: Column, whole: Column) -> Column:
+    """A share with one digit, halves away from zero; whole-number arithmetic, so every engine can spell it alike."""
+    tenths = F.floor((part * 2000 + whole) / (whole * 2))
+    return F.concat(F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"), F.lit("%"))
+
+
 def _failures(name: str, failed: Column, total: Column, allowed: float, noun: str, idle: str) -> Column:
     rate = F.try_divide(failed, total)
     text = F.when(total == 0, F.lit(idle)).otherwise(
@@ -42,7 +48,7 @@ def _failures(name: str, failed: Column, total: Column, allowed: float, noun: st
             F.lit("/"),
             total.cast("string"),
             F.lit(f" {noun} ("),
-            F.format_string("%.1f%%", rate * 100),
+            _percent(failed, total),
             F.lit(f", threshold {allowed:.1%})"),
         )
     )
@@ -92,7 +98,7 @@ def queue_checks(queue: DataFrame, rules: Rules) -> DataFrame:
     text = F.concat(
         quota.cast("string"),
         F.lit(" ingestion failures look like quota/rate-limit errors (402/429)"),
-        F.when(quota > allowed, F.lit(" — check Apify account usage/billing")).otherwise(F.lit("")),
+        F.when(quota > allowed, F.lit(" — check usage")).otherwise(F.lit("")),
     )
     return _rows(
         totals,
@@ -192,9 +198,21 @@ def with_silent_windows(counts: DataFrame, step: str) -> DataFrame:
     """Window counts with a zero row for every silent step between the first and last window.
 
     A windowed aggregate emits nothing for silence, which is what a freshness
-    alarm has to see.
+    alarm has to see. The range is listed by day and each day's steps where
+    the day lands, so a stray early or late time costs rows but not one task.
     """
-    spine = counts.agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi")).select(
-        F.explode(F.sequence("lo", "hi", F.expr(f"INTERVAL {step}"))).alias("window_start")
+    by = F.expr(f"INTERVAL {step}")
+    ends = counts.agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi"))
+    days = ends.select("lo", "hi", F.explode(F.sequence(F.date_trunc("day", "lo"), F.date_trunc("day", "hi"), F.expr("INTERVAL 1 DAY"))).alias("day"))
+    # Steps count from the first window, so a day starts with the first step that falls into it.
+    seconds = F.unix_seconds(F.timestamp_seconds(F.lit(0)) + by)
+    late = F.greatest(F.lit(0), F.ceil((F.unix_seconds("day") - F.unix_seconds("lo")) / seconds))
+    first = F.timestamp_seconds(F.unix_seconds("lo") + late * seconds)
+    last = F.least("hi", F.timestamp_seconds(F.unix_seconds("day") + 86_399))
+    spine = (
+        days.repartition("day")
+        .select(first.alias("first"), last.alias("last"))
+        .where("first <= last")
+        .select(F.explode(F.sequence("first", "last", by)).alias("window_start"))
     )
     return spine.join(counts, "window_start", "left").withColumn("n", F.coalesce("n", F.lit(0)))

@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from talentsift.rules import IN_PROGRESS, PENDING
 
-# A batch this small may be broadcast: its row count is the caller's own limit.
-BROADCAST_ROWS = 10_000
-
-
 def next_batch(queue: DataFrame, limit: int) -> DataFrame:
     """The ``limit`` most urgent pending rows: lowest priority number, then oldest.
 
@@ -23,8 +19,6 @@ def next_batch(queue: DataFrame, limit: int) -> DataFrame:
 def mark_in_progress(queue: DataFrame, limit: int) -> DataFrame:
     """Queue state after the next batch has been taken."""
     taken = next_batch(queue, limit).select("queue_id", F.lit(True).alias("taken"))
-    if limit <= BROADCAST_ROWS:
-        taken = F.broadcast(taken)
     status = F.when(F.col("taken"), IN_PROGRESS).otherwise(F.col("status"))
     return queue.join(taken, "queue_id", "left").withColumn("status", status).select(*queue.columns)
 

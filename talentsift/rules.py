@@ -25,13 +25,13 @@ NOT_AN_OBJECT = "Payload is not a JSON object"
 
 # What an HTTP status means for whoever reads the failure report.
 HTTP_LABELS = (
-    (401, "auth failed — check APIFY_API_TOKEN"),
-    (402, "Apify quota/billing exhausted — check account usage"),
-    (403, "forbidden — check actor access/plan"),
-    (404, "actor not found — check APIFY_TIKTOK_ACTOR_ID (slash vs '~' form?)"),
+    (401, "auth failed"),
+    (402, "quota exhausted"),
+    (403, "forbidden"),
+    (404, "source not found"),
     (429, "rate limited"),
-    (500, "Apify server error"),
-    (503, "Apify service unavailable"),
+    (500, "server error"),
+    (503, "service unavailable"),
 )
 
 
@@ -52,13 +52,14 @@ class Rules:
     posting_days: int = 30
     recent_videos: int = 30
 
-    # Account type, matched as lower-case substrings
+    # Account type, matched as lower-case substrings
     reseller_keywords: tuple[str, ...] = ("shop", "store", "discount code", "use code", "link in bio")
     storefront_domains: tuple[str, ...] = ("shopify", "etsy.com", "gumroad", "linktr.ee/shop")
     excluded_accounts: tuple[str, ...] = ("brand", "reseller")
 
     # Handoff and refresh
     handoff_tiers: tuple[str, ...] = (TIER_A, TIER_B)
+    # Days between refreshes of a tier
     refresh_days: tuple[tuple[str, int], ...] = (
         (TIER_A, 7),
         (TIER_B, 14),
@@ -73,7 +74,6 @@ class Rules:
 
     # Batch sizes of the polled jobs
     fetch_batch: int = 25
-    parse_batch: int = 200
     items_per_fetch: int = 30
 
     # Monitoring
@@ -84,6 +84,7 @@ class Rules:
     max_parse_failures: float = 0.1
     max_quota_errors: int = 5
     freshness_grace_days: int = 2
+    # Marks of exhausted quota in error texts
     quota_markers: tuple[str, ...] = ("402", "429", "payment required", "rate limit")
 
     # Failure summaries

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talentsift.functions.failures import HTTP, TIMEOUT
-from talentsift.rules import HASHTAG_SOURCE, PLATFORM, Rules
+from talentsift.rules import HASHTAG_SOURCE, HTTP_LABELS, PLATFORM, Rules
 
 EVENTS_AS_OF = "2024-01-31 00:00:00"
 ORDERS_AS_OF = "2001-08-01 00:00:00"
@@ -185,9 +185,12 @@ class Samples:
                 .when(_digit() == 3, TIMEOUT)
                 .otherwise("other")
                 .alias("kind"),
-                F.when(_digit() == 1, 402).when(_digit() == 2, 404).when(_digit() == 4, 418).alias(
-                    "status_code"
-                ),
+                F.when(
+                    _digit() <= 2,
+                    F.element_at(F.array(*[F.lit(code) for code, _ in HTTP_LABELS]), (F.col("o_orderkey") % 7 + 1).cast("int")),
+                )
+                .when(_digit() == 4, 418)
+                .alias("status_code"),
                 F.lit("ValueError").alias("error_type"),
                 F.repeat(F.concat(F.lit("order "), F.col("o_orderkey").cast("string"), F.lit(" refused; ")), 20)
                 .alias("message"),

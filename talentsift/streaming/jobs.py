@@ -1,8 +1,11 @@
 """Streaming jobs. The checkpoint replaces status polling; writes are keyed by batch id.
 
 Each job takes a stream and a folder for its tables and checkpoint, runs with
-the ``availableNow`` trigger and returns when the backlog is done. A rerun
-batch overwrites its own output and reads only what earlier batches wrote.
+the ``availableNow`` trigger and returns when the backlog is done. A batch
+writes only what its own rows add, under its own directory, so a rerun
+replaces its output and no batch rewrites state. Readers fold the batches by
+key with operators whose result does not depend on the order in which rows
+arrived; nothing is dropped for being late.
 """
 
 from __future__ import annotations
@@ -16,21 +19,27 @@ from pyspark.sql import functions as F
 from talentsift import schemas
 from talentsift.functions import signals as S
 from talentsift.operators import dedup, parsing
-from talentsift.operators.discovery import author_sightings
-from talentsift.operators.latest import latest, latest_n, latest_with_previous, snapshot_order
+from talentsift.operators.discovery import first_occurrences, qualified
+from talentsift.operators.latest import latest_n, latest_with_previous, snapshot_order
 from talentsift.operators.monitor import with_silent_windows
 from talentsift.plans.enrich import enrich
-from talentsift.rules import PENDING, PLATFORM, Rules
-from talentsift.sources.tables import read_batches, write_batch, write_version
+from talentsift.rules import Rules
+from talentsift.sources.tables import read_batches, write_batch
 
 BatchWriter = Callable[[DataFrame, int], None]
 
 
-def open_stream(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """A file stream over one table, whether it is a single file or a directory of files."""
-    path = f"{folder}/{table}.parquet"
-    schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).parquet(f"{folder}/{table}.parque[t]")
+FILES_PER_BATCH = 256
+
+
+def open_stream(spark: SparkSession, folder: str, table: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """A file stream over one table, whether it is a single file or a directory of files.
+
+    ``files_per_batch`` bounds a micro-batch, so a backlog is worked off in steps.
+    """
+    schema = spark.read.parquet(f"{folder}/{table}.parquet").schema
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(f"{folder}/{table}.parque[t]")
 
 
 def drain(stream: DataFrame, folder: str, write: BatchWriter, mode: str = "append") -> None:
@@ -52,30 +61,24 @@ def _earlier(spark: SparkSession, path: str, batch_id: int, schema: str) -> Data
     return read_batches(spark, path, schema).where(F.col("batch_id") < batch_id).drop("batch_id")
 
 
-def _previous_version(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
-    """State after the preceding batch. Batch ids are consecutive, so a rerun finds the same one."""
-    if batch_id == 0:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/version={batch_id - 1}")
+_SEEN = "platform string, external_id string, first_sighting timestamp, last_sighting timestamp"
 
 
 def parse_landed(raw: DataFrame, folder: str, as_of: Column) -> None:
-    """Payload stream to snapshots, new videos, quarantine and creators."""
+    """Payload stream to snapshots, new videos, quarantine and creator sightings; ``stored_creators`` folds the last."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         parsed = parsing.parse_payloads(batch).persist(StorageLevel.MEMORY_AND_DISK)
         listed = parsing.videos(parsed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            history = _earlier(spark, f"{folder}/videos", batch_id, schemas.VIDEOS)
-            known = dedup.stored_matches(history, listed.select("video_id").distinct(), ["video_id"])
+            known = _earlier(spark, f"{folder}/videos", batch_id, schemas.VIDEOS).select("video_id")
             rows = enrich(parsed, known, as_of, listed)
             write_batch(rows.profile_snapshots, f"{folder}/profile_snapshots", batch_id)
             write_batch(rows.videos, f"{folder}/videos", batch_id)
             write_batch(rows.video_snapshots, f"{folder}/video_snapshots", batch_id)
             write_batch(rows.parse_errors, f"{folder}/parse_errors", batch_id)
-            creators = _previous_version(spark, f"{folder}/creators", batch_id, schemas.CREATORS)
-            write_version(dedup.upsert_creators(creators, rows.sightings), f"{folder}/creators", batch_id)
+            write_batch(dedup.sighting_range(rows.sightings), f"{folder}/creator_sightings", batch_id)
         finally:
             listed.unpersist()
             parsed.unpersist()
@@ -83,62 +86,53 @@ def parse_landed(raw: DataFrame, folder: str, as_of: Column) -> None:
     drain(raw, folder, write)
 
 
-_QUEUE_KEYS = "platform string, external_id string, handle string, status string"
+def stored_creators(spark: SparkSession, folder: str) -> DataFrame:
+    """The creators table as all batches so far have it: earliest and latest sighting of each."""
+    seen = read_batches(spark, f"{folder}/creator_sightings", _SEEN)
+    return dedup.upsert_ranges(spark.createDataFrame([], schemas.CREATORS), dedup.merged_ranges(seen))
+
+
+_FIRSTS = "query string, pos bigint, external_id string, handle string, follower_count bigint"
 
 
-def enqueue_sightings(items: DataFrame, folder: str, delay: str) -> DataFrame:
-    """Author stream to new pending queue rows.
+def enqueue_sightings(items: DataFrame, folder: str, rules: Rules) -> DataFrame:
+    """Author stream to pending queue rows, equal to the batch result in whatever order items arrive.
 
-    The stateful step drops repeats while the watermark remembers them, which
-    bounds its state by time. The check against the queue is what makes the
-    result exact over any distance in time.
+    A batch keeps the first item of each author and query. Reading takes the
+    first of these over all batches, then the follower floor, then the first
+    query of each creator.
     """
-    spark = items.sparkSession
-    queue_path = f"{folder}/queue"
-    stamped = items.withWatermark("discovered_at", delay)
-    authors = author_sightings(stamped, keep=("query", "pos", "discovered_at")).select(
-        F.lit(PLATFORM).alias("platform"), "external_id", "handle", "query", "pos", "discovered_at"
-    )
-    fresh = authors.dropDuplicatesWithinWatermark(["platform", "external_id"])
+    spark, path = items.sparkSession, f"{folder}/first_sightings"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        incoming = batch.select("platform", "external_id", "handle", "query", "pos").persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
-        try:
-            pending = _earlier(spark, queue_path, batch_id, _QUEUE_KEYS).where(F.col("status") == PENDING)
-            queued = dedup.stored_matches(pending, incoming.distinct(), dedup.CREATOR_KEY)
-            order = [F.asc("query"), F.asc("pos")]
-            added = dedup.enqueue(incoming, queued.withColumn("status", F.lit(PENDING)), order)
-            write_batch(added.drop("query", "pos"), queue_path, batch_id)
-        finally:
-            incoming.unpersist()
+        firsts = first_occurrences(batch)
+        write_batch(firsts.select(F.col("query"), F.col("pos").cast("long"), "external_id", "handle", "follower_count"), path, batch_id)
 
-    drain(fresh, folder, write)
-    return read_batches(spark, queue_path, _QUEUE_KEYS).where(F.col("status") == PENDING)
+    drain(items.select("query", "pos", "item"), folder, write)
+    firsts = dedup.first_per_key(read_batches(spark, path, _FIRSTS), ["query", "external_id"], [F.asc("pos")])
+    nobody = spark.createDataFrame([], "platform string, external_id string, status string")
+    candidates = qualified(firsts, rules)
+    return dedup.enqueue(candidates.drop("source"), nobody, [F.asc("query"), F.asc("pos")]).drop("query", "pos")
 
 
-_WINDOWS = "window_start timestamp, window_end timestamp, n bigint"
+_WINDOWS = "window_start timestamp, n bigint"
 
 
-def arrival_counts(rows: DataFrame, folder: str, moment: str, span: str, step: str, delay: str) -> DataFrame:
+def arrival_counts(rows: DataFrame, folder: str, moment: str, span: str, step: str) -> DataFrame:
     """Arrivals per sliding window, with zero rows for silence between the first and last window.
 
-    Each trigger writes only the windows it changed; the newest count of a
-    window is its result.
+    A batch writes the counts of its own rows and reading adds them up, so a
+    row counts however late it comes.
     """
-    spark = rows.sparkSession
-    counts = (
-        rows.withWatermark(moment, delay)
-        .groupBy(F.window(moment, span, step).alias("w"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n")
-    )
-    path = f"{folder}/arrivals"
-    drain(counts, folder, lambda batch, batch_id: write_batch(batch, path, batch_id), mode="update")
-    written = read_batches(spark, path, _WINDOWS)
-    final = written.groupBy("window_start").agg(F.max_by("n", "batch_id").alias("n"))
-    return with_silent_windows(final, step)
+    spark, path = rows.sparkSession, f"{folder}/arrivals"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        windows = batch.groupBy(F.window(moment, span, step).alias("w")).agg(F.count(F.lit(1)).alias("n"))
+        write_batch(windows.select(F.col("w.start").alias("window_start"), "n"), path, batch_id)
+
+    drain(rows, folder, write)
+    counts = read_batches(spark, path, _WINDOWS).groupBy("window_start").agg(F.sum("n").alias("n"))
+    return with_silent_windows(counts, step)
 
 
 _PAIRS = "snapshot_id bigint, creator_id bigint, snapshot_date date, created_at timestamp, follower_count bigint"
@@ -147,32 +141,23 @@ _PAIRS = "snapshot_id bigint, creator_id bigint, snapshot_date date, created_at
 def growth_updates(snapshots: DataFrame, folder: str, rules: Rules) -> DataFrame:
     """Growth per creator from a snapshot stream.
 
-    The kept state is two snapshots per creator rather than the history, so a
-    batch costs the creators known plus its own rows.
+    A batch keeps the two newest snapshots of each creator it saw; the two
+    newest of all are among these, whatever batch brought them.
     """
-    spark = snapshots.sparkSession
-    state_path, growth_path = f"{folder}/last_two", f"{folder}/growth"
+    spark, path = snapshots.sparkSession, f"{folder}/newest"
+    columns = ["snapshot_id", "creator_id", "snapshot_date", "created_at", "follower_count"]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        before = _previous_version(spark, state_path, batch_id, _PAIRS)
-        merged = before.unionByName(batch.select(*before.columns))
-        state = write_version(latest_n(merged, ["creator_id"], snapshot_order(), 2), state_path, batch_id)
-        touched = batch.select("creator_id").distinct()
-        pair = latest_with_previous(
-            state.join(touched, "creator_id", "left_semi"),
-            ["creator_id"],
-            snapshot_order(),
-            ["snapshot_date", "follower_count"],
-        )
-        growth = S.growth(
-            F.col("previous_follower_count"),
-            F.col("previous_snapshot_date"),
-            F.col("follower_count"),
-            F.col("snapshot_date"),
-            rules,
-        )
-        write_batch(pair.select("creator_id", "snapshot_date", growth.alias("growth_rate")), growth_path, batch_id)
+        write_batch(latest_n(batch.select(*columns), ["creator_id"], snapshot_order(), 2), path, batch_id)
 
     drain(snapshots, folder, write)
-    updates = read_batches(spark, growth_path, "creator_id bigint, snapshot_date date, growth_rate double")
-    return latest(updates, ["creator_id"], [F.desc("batch_id")]).drop("batch_id")
+    newest = read_batches(spark, path, _PAIRS).drop("batch_id")
+    pair = latest_with_previous(newest, ["creator_id"], snapshot_order(), ["snapshot_date", "follower_count"])
+    growth = S.growth(
+        F.col("previous_follower_count"),
+        F.col("previous_snapshot_date"),
+        F.col("follower_count"),
+        F.col("snapshot_date"),
+        rules,
+    )
+    return pair.select("creator_id", "snapshot_date", growth.alias("growth_rate"))

@@ -146,6 +146,8 @@ def test_failure_summaries(spark):
     )
     got = [r[0] for r in log.select(failures.summarize(F.col("kind"), F.col("code"), F.col("type"), F.col("message"), RULES)).collect()]
     assert got == ["HTTP 429 (rate limited)", "HTTP 418", "request timed out", "KeyError: " + "x" * 200]
+    whole = [r[0] for r in log.select(failures.full_text(F.col("type"), F.col("message"))).collect()]
+    assert whole == [None, None, None, "KeyError: " + "x" * 300]
 
 
 def test_quota_errors_count_failed_rows_only(spark):

@@ -252,3 +252,10 @@ def test_first_sighting_of_a_video_wins_and_stored_videos_stay(spark):
     everything = known.unionByName(added.select("video_id"))
     assert enrich.new_videos(listed, everything, F.lit(STAMP)).count() == 0
     assert enrich.video_snapshots(listed, F.lit(STAMP)).count() == 4
+
+
+def test_ids_keep_separators_and_nulls_apart(spark):
+    parts = [("a|b", "c"), ("a", "b|c"), (None, "c"), ("c", None), ("", "c"), ('a","b', "c"), ("a", 'b","c'), ("null", "c")]
+    frame = spark.createDataFrame(parts, "p string, e string")
+    keys = [r[0] for r in frame.select(creator_key(F.col("p"), F.col("e"))).collect()]
+    assert len(set(keys)) == len(parts)

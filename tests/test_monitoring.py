@@ -55,13 +55,13 @@ def test_cutoffs_include_their_moment(spark):
     assert not checks["ingestion_freshness"].passed
 
 
-def test_quota_exhaustion_names_billing(spark):
+def test_quota_exhaustion_says_what_to_check(spark):
     checks = named(all_checks(spark, queue=[("failed", "HTTP 402 (x)")] * 54 + [("done", None)] * 300))
     assert not checks["quota_exhaustion"].passed
-    assert "54" in checks["quota_exhaustion"].message and "billing" in checks["quota_exhaustion"].message
+    assert "54" in checks["quota_exhaustion"].message and "check usage" in checks["quota_exhaustion"].message
     assert checks["ingestion_health"].passed
     few = named(all_checks(spark, queue=[("failed", "HTTP 429")] * 5 + [("done", None)] * 95))
-    assert few["quota_exhaustion"].passed and "billing" not in few["quota_exhaustion"].message
+    assert few["quota_exhaustion"].passed and "check usage" not in few["quota_exhaustion"].message
 
 
 @pytest.mark.parametrize(("failed", "passed"), [(20, True), (21, False)])
@@ -114,6 +114,15 @@ def test_silent_windows_show_as_zero(spark):
     assert [r.n for r in filled] == [3, 0, 0, 0, 4]
 
 
+def test_silence_of_years_is_listed_by_day_in_many_tasks(spark):
+    stamp = datetime(2020, 3, 1, 23, 50)
+    frame = [(stamp, 1), (stamp + timedelta(minutes=50 * 25_000), 2)]
+    filled = monitor.with_silent_windows(spark.createDataFrame(frame, "window_start timestamp, n bigint"), "50 minutes")
+    assert filled.count() == 25_001 and filled.agg(F.sum("n")).first()[0] == 3
+    gaps = filled.select((F.unix_seconds("window_start") - F.unix_seconds(F.lit(stamp).cast("timestamp"))) % 3000).distinct().collect()
+    assert [r[0] for r in gaps] == [0]
+
+
 def test_latest_by_tier_does_not_multiply_scores_by_snapshots(spark):
     scores = spark.createDataFrame([(1, "A")] * 50 + [(2, "B")], SCORES)
     snapshots = spark.createDataFrame([(1, date(2026, 1, d)) for d in range(1, 29)] + [(9, date(2026, 2, 1))], SNAPSHOTS)

@@ -79,14 +79,14 @@ def test_posting_rate_tells_silence_from_missing_dates(spark):
 @pytest.mark.parametrize(
     ("bio", "link", "commerce", "expected"),
     [
-        ("SHOP THE E-BOOK OUT NOW", "https://x.myshopify.com/all", False, "reseller"),
-        ("daily routines", None, False, "creator"),
-        ("no shop, just me", None, False, "reseller"),
-        ("painting workshop", None, None, "reseller"),
-        ("plain", "https://LINKTR.EE/shop", False, "reseller"),
+        ("My Store opens on Monday", "https://goods.shopify.example/a", False, "reseller"),
+        ("notes on birds", None, False, "creator"),
+        ("not a shop at all", None, False, "reseller"),
+        ("weekend workshops", None, None, "reseller"),
+        ("plain", "HTTPS://LINKTR.EE/SHOP?x=1", False, "reseller"),
         ("shop", None, True, "brand"),
         (None, None, False, "creator"),
-        (None, "https://etsy.com/me", False, "reseller"),
+        (None, "https://etsy.com/listing/7", False, "reseller"),
     ],
 )
 def test_account_type(spark, bio, link, commerce, expected):

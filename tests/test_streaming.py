@@ -1,17 +1,18 @@
 from __future__ import annotations
 
+import os
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from talentsift.operators import dedup, parsing
-from talentsift.operators.discovery import author_sightings
+from talentsift.operators.discovery import discover
 from talentsift.operators.latest import snapshot_order
 from talentsift.plans import enrich
 from talentsift.plans.score import current_and_previous, snapshot_signals
-from talentsift.rules import Rules
-from talentsift.sources.samples import SAMPLE_RULES, Samples
+from talentsift.rules import HASHTAG_SOURCE, Rules
+from talentsift.sources.samples import SAMPLE_RULES, SEARCH_RULES, Samples
 from talentsift.streaming import jobs
 from tests.conftest import rows
 
@@ -53,8 +54,7 @@ def test_parse_stream_equals_batch(spark, sliced, tmp_path):
     none_known = spark.createDataFrame([], "video_id string")
     videos = stored("videos").drop("batch_id")
     assert rows(videos.select("video_id")) == rows(enrich.new_videos(listed, none_known, stamp).select("video_id"))
-    last = max(int(r.batch_id) for r in stored("videos").select("batch_id").distinct().collect())
-    creators = spark.read.parquet(f"{folder}/creators/version={last}")
+    creators = jobs.stored_creators(spark, folder)
     nobody = spark.createDataFrame([], creators.schema)
     assert rows(creators) == rows(dedup.upsert_creators(nobody, enrich.sightings(parsed, stamp)))
 
@@ -65,7 +65,7 @@ def test_rerun_batch_writes_the_same_tables(spark, tmp_path, monkeypatch):
     early = F.col("fetched_at") < F.lit(datetime(2024, 1, 15))
 
     def tables():
-        return {name: rows(spark.read.parquet(f"{folder}/{name}")) for name in ("videos", "profile_snapshots", "creators")}
+        return {name: rows(spark.read.parquet(f"{folder}/{name}")) for name in ("videos", "profile_snapshots", "creator_sightings")}
 
     def replay(stream, target, write, mode="append"):
         write(raw.where(early), 0)
@@ -82,32 +82,47 @@ def test_stream_without_input_gives_empty_tables(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     schema = spark.read.parquet(f"{FOLDER}/events.parquet").schema
     stream = spark.readStream.schema(schema).parquet(str(tmp_path / "empty"))
-    queued = jobs.enqueue_sightings(Samples(spark, FOLDER).search_items(stream), str(tmp_path / "q"), "1 minute")
+    queued = jobs.enqueue_sightings(Samples(spark, FOLDER).search_items(stream), str(tmp_path / "q"), SEARCH_RULES)
     assert queued.count() == 0
 
 
-def test_history_is_narrowed_only_within_the_bound(spark):
-    history = spark.createDataFrame([(i, "x") for i in range(50)], "k int, rest string")
-    wanted = spark.createDataFrame([(3,), (60,), (7,)], "k int")
-    narrowed = dedup.stored_matches(history, wanted, ["k"], most=3)
-    assert rows(narrowed) == [(3,), (7,)]
-    assert dedup.stored_matches(history, wanted, ["k"], most=2).count() == 50
+@pytest.fixture
+def newest_first(spark, tmp_path):
+    """A sample table as five files, the newest rows in the first batch."""
+
+    def open_reversed(table: str, order: str):
+        frame = spark.read.parquet(f"{FOLDER}/{table}.parquet")
+        path = tmp_path / f"{table}-reversed"
+        lo, hi = frame.agg(F.min(order), F.max(order)).first()
+        width = (hi - lo) / 5
+        for part in reversed(range(5)):
+            upper = F.col(order) <= hi if part == 4 else F.col(order) < lo + (part + 1) * width
+            inside = frame.where((F.col(order) >= lo + part * width) & upper)
+            inside.coalesce(1).write.mode("append").parquet(str(path))
+        for age, file in enumerate(sorted(path.glob("*.parquet"), key=lambda f: f.stat().st_mtime_ns)):
+            os.utime(file, (1_700_000_000 + age, 1_700_000_000 + age))
+        return spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(str(path))
+
+    return open_reversed
 
 
-def test_queue_stream_equals_batch_over_many_triggers(spark, sliced, tmp_path):
+def test_queue_stream_newest_first_equals_batch(spark, newest_first, tmp_path):
     samples = Samples(spark, FOLDER)
-    queued = jobs.enqueue_sightings(samples.search_items(sliced("events", "event_id")), str(tmp_path / "q"), "1 minute")
-    expected = author_sightings(samples.search_items()).select("external_id").distinct()
-    assert rows(queued.select("external_id")) == rows(expected)
+    queued = jobs.enqueue_sightings(samples.search_items(newest_first("events", "event_id")), str(tmp_path / "q"), SEARCH_RULES)
+    found = discover(HASHTAG_SOURCE, samples.search_items(), SEARCH_RULES)
+    nobody = spark.createDataFrame([], "platform string, external_id string, status string")
+    expected = dedup.enqueue(found, nobody, [F.asc("query"), F.asc("pos")]).select(*queued.columns)
+    assert queued.count() > 0 and rows(queued) == rows(expected)
 
 
-def test_arrival_stream_equals_batch_windows(spark, sliced, tmp_path):
-    stream = sliced("events", "event_id").select(F.col("ts").cast("timestamp").alias("at"))
-    counted = jobs.arrival_counts(stream, str(tmp_path / "a"), "at", "2 hours", "15 minutes", "3 hours")
+def test_arrival_stream_newest_first_equals_batch_windows(spark, newest_first, tmp_path):
+    stream = newest_first("events", "ts").select(F.col("ts").cast("timestamp").alias("at"))
+    counted = jobs.arrival_counts(stream, str(tmp_path / "a"), "at", "2 hours", "15 minutes")
     batch = spark.read.parquet(f"{FOLDER}/events.parquet").select(F.col("ts").cast("timestamp").alias("at"))
     windows = batch.groupBy(F.window("at", "2 hours", "15 minutes").alias("w")).count()
     expected = windows.select(F.col("w.start").alias("window_start"), F.col("count").alias("n"))
     assert rows(counted.where("n > 0").select("window_start", "n")) == rows(expected)
+    assert counted.agg(F.sum("n")).first()[0] == 8 * batch.count()
 
 
 def test_growth_stream_equals_batch(spark, sliced, tmp_path):
