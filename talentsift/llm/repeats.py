@@ -12,9 +12,11 @@ that equal prefixes are neighbours, and is merge-scanned against the array of
 every level; levels of equal weight then merge, so a suffix is merged at most
 as often as the logarithm of the number of batches. Suffixes whose prefix
 occurs again are compared in full: first whole runs, then, where runs
-differ, each of their windows. Every comparison is a grouping by hash that combines before its shuffle,
-so a passage in a third of all documents costs what its occurrences cost.
-Equality is decided by two 64-bit hashes, of the prefix and of the window.
+differ, blocks of eight windows, and only where blocks agree in what their
+windows share but not in all, each window. Every comparison is a grouping by
+hash that combines before its shuffle, so a passage in a third of all
+documents costs what its occurrences cost. Equality is decided by two 64-bit
+hashes, of the prefix and of the longer string.
 """
 
 from __future__ import annotations
@@ -32,8 +34,9 @@ from talentsift.llm.common import forget, prefix_hash, span_hash, stored
 LENGTH = 200
 PREFIX = 40
 SLICE = 1 << 20
-POSTINGS = "doc bigint, body bigint, key bigint, run bigint, start int, n int"
-WINDOWS = "doc bigint, body bigint, key bigint, hash bigint, start int"
+POSTINGS = "doc bigint, body bigint, key bigint, run bigint, start int, n int, lead int"
+STARTS = 8
+BLOCKS = "doc bigint, body bigint, key bigint, block int, core bigint, left bigint, right bigint, first int, n int, start int"
 CUTS = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"
 NO_ID = -(1 << 63)
 
@@ -47,7 +50,7 @@ def _named(docs: DataFrame) -> DataFrame:
 
 
 def anchored_runs(data: np.ndarray, ends: np.ndarray, length: int, prefix: int) -> tuple[np.ndarray, ...]:
-    """Runs of window starts in joined documents: first start, number of starts, prefix hash and hash of the run's bytes.
+    """Runs of window starts in joined documents: first start, number of starts, distance to the anchor, prefix hash and hash of the run's bytes.
 
     ``ends`` has the end of each document in ``data``; no window crosses one.
     """
@@ -67,13 +70,13 @@ def anchored_runs(data: np.ndarray, ends: np.ndarray, length: int, prefix: int)
     valid = starts + length <= ends[np.searchsorted(ends, starts, side="right")]
     starts, anchors = starts[valid], anchors[valid]
     if not len(starts):
-        return (np.empty(0, np.int64),) * 4
+        return (np.empty(0, np.int64),) * 5
     new = np.ones(len(starts), bool)
     new[1:] = (anchors[1:] != anchors[:-1]) | (starts[1:] != starts[:-1] + 1)
     first = np.flatnonzero(new)
     n = np.diff(np.append(first, len(starts)))
     begin = starts[first]
-    return begin, n, hashes[anchors[first]].view(np.int64), span_hash(sums, begin, begin + n - 1 + length).view(np.int64)
+    return begin, n, anchors[first] - begin, hashes[anchors[first]].view(np.int64), span_hash(sums, begin, begin + n - 1 + length).view(np.int64)
 
 
 def _slices(bodies: list[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
@@ -102,14 +105,14 @@ def suffixes(docs: DataFrame, *, length: int = LENGTH, prefix: int = PREFIX) ->
             for group in _slices(bodies, length):
                 data = np.frombuffer(b"".join(part for _, _, part in group), np.uint8)
                 ends = np.cumsum([len(part) for _, _, part in group])
-                begin, n, key, run = anchored_runs(data, ends, length, prefix)
+                begin, n, lead, key, run = anchored_runs(data, ends, length, prefix)
                 which = np.searchsorted(ends, begin, side="right")
                 rows = np.array([k for k, _, _ in group])[which]
                 shift = np.array([at for _, at, _ in group]) - np.concatenate([[0], ends[:-1]])
                 start = (begin + shift[which]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in (names[0][rows], names[1][rows], key, run, start, n.astype(np.int32))],
-                    names=["doc", "body", "key", "run", "start", "n"],
+                    [pa.array(c) for c in (names[0][rows], names[1][rows], key, run, start, n.astype(np.int32), lead.astype(np.int32))],
+                    names=["doc", "body", "key", "run", "start", "n", "lead"],
                 )
 
     return _named(docs).mapInArrow(scan, POSTINGS)
@@ -137,30 +140,84 @@ class IndexFamily:
         return shared
 
 
-def _windows(docs: DataFrame, work: DataFrame, length: int) -> DataFrame:
-    """One row per window start of the runs in ``work``, with the hash of the window."""
-    lists = work.groupBy("doc", "body").agg(F.collect_list(F.struct("key", "start", "n")).alias("runs"))
+def _blocks(docs: DataFrame, work: DataFrame, length: int) -> DataFrame:
+    """The runs of ``work`` cut into blocks of eight starts at fixed distances from the anchor.
+
+    ``core`` hashes what all windows of a block share; ``left`` and ``right``
+    are the seven bytes on either side of it, as far as windows of the block
+    need them. Core and sides together tell each of its windows.
+    """
+    lists = work.groupBy("doc", "body").agg(F.collect_list(F.struct("key", "start", "n", "lead")).alias("runs"))
     joined = _named(docs).dropDuplicates(["doc", "body"]).join(lists, ["doc", "body"])
+    shared = length - STARTS + 1
+
+    def side(data: np.ndarray, at: np.ndarray, step: int, count: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(at), np.int64)
+        for q in range(STARTS - 1):
+            use = count > q
+            out[use] |= data[at[use] + step * q].astype(np.int64) << (8 * q)
+        return out
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, body, data, runs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                sums = prefix_hash(np.frombuffer(data, np.uint8))
-                n = np.array([r["n"] for r in runs])
-                first = np.repeat(np.array([r["start"] for r in runs]), n)
-                start = first + np.arange(len(first)) - np.repeat(np.cumsum(n) - n, n)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(start), doc, np.int64)),
-                        pa.array(np.full(len(start), body, np.int64)),
-                        pa.array(np.repeat(np.array([r["key"] for r in runs], np.int64), n)),
-                        pa.array(span_hash(sums, start, start + length).view(np.int64)),
-                        pa.array(start.astype(np.int32)),
-                    ],
-                    names=["doc", "body", "key", "hash", "start"],
-                )
-
-    return joined.select("doc", "body", "bytes", "runs").mapInArrow(scan, WINDOWS)
+            for doc, body, raw, runs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                data = np.frombuffer(raw, np.uint8)
+                start, n, lead, key = (np.array([r[c] for r in runs], np.int64) for c in ("start", "n", "lead", "key"))
+                last = lead - n + 1
+                count = lead // STARTS - last // STARTS + 1
+                which = np.repeat(np.arange(len(runs)), count)
+                block = (lead // STARTS)[which] - (np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count))
+                high = np.minimum(STARTS * block + STARTS - 1, lead[which])
+                low = np.maximum(STARTS * block, last[which])
+                anchor = (start + lead)[which]
+                core = anchor - STARTS * block
+                first = low - STARTS * block
+                columns = {
+                    "doc": np.full(len(which), doc, np.int64),
+                    "body": np.full(len(which), body, np.int64),
+                    "key": key[which],
+                    "block": block.astype(np.int32),
+                    "core": span_hash(prefix_hash(data), core, core + shared).view(np.int64),
+                    "left": side(data, core - 1, -1, high - STARTS * block),
+                    "right": side(data, core + shared, 1, STARTS - 1 - first),
+                    "first": first.astype(np.int32),
+                    "n": (high - low + 1).astype(np.int32),
+                    "start": (anchor - high).astype(np.int32),
+                }
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], names=list(columns))
+
+    return joined.select("doc", "body", "bytes", "runs").mapInArrow(scan, BLOCKS)
+
+
+def _equal_windows(blocks: DataFrame) -> list[DataFrame]:
+    """``doc, body, start, n`` of the windows in ``blocks`` that occur in two of them; takes the files of ``blocks`` away."""
+    same_core, content = ["key", "block", "core"], ["left", "right", "first", "n"]
+    contents = blocks.groupBy(*same_core, *content).agg(F.count("*").alias("times"), F.min(F.struct("doc", "body", "start")).alias("one"))
+    contents = stored(contents, "contents")
+    repeated = stored(contents.where("times > 1").select(*same_core, *content), "repeated")
+    whole = stored(blocks.join(repeated, [*same_core, *content]).select("doc", "body", "start", "n"), "found")
+    forget(blocks)
+    # Only blocks with equal cores can share a window, and only unequal blocks have anything left to compare.
+    mixed = contents.groupBy(*same_core).agg(F.count("*").alias("ways"), F.min("times").alias("least")).where("ways > 1 and least = 1")
+    mask = lambda k: F.shiftleft(F.lit(1).cast("long"), 8 * k) - 1
+    steps = [
+        F.struct(
+            F.lit(k).alias("k"),
+            F.xxhash64(*same_core, F.lit(k), F.col("left").bitwiseAND(mask(k)), F.col("right").bitwiseAND(mask(STARTS - 1 - k))).alias("hash"),
+        )
+        for k in range(STARTS)
+    ]
+    windows = (
+        contents.join(mixed.select(*same_core), same_core)
+        .select("key", "times", "one", "first", "n", F.explode(F.slice(F.array(*steps), F.col("first") + 1, F.col("n"))).alias("w"))
+        .select("key", "times", "one", (F.col("first") + F.col("n") - 1 - F.col("w.k")).alias("after"), "w.hash")
+    )
+    equal = stored(windows.groupBy("key", "hash").agg(F.count("*").alias("ways")).where("ways > 1").select("key", "hash"), "equal")
+    single = windows.where("times = 1").join(equal, ["key", "hash"])
+    single = single.select("one.doc", "one.body", (F.col("one.start") + F.col("after")).alias("start"), F.lit(1).alias("n"))
+    single = stored(single, "found")
+    forget(contents)
+    return [whole, single]
 
 
 def find_repeats(docs: DataFrame, *, length: int = LENGTH, prefix: int = PREFIX, batches: int = 4) -> DataFrame:
@@ -168,18 +225,22 @@ def find_repeats(docs: DataFrame, *, length: int = LENGTH, prefix: int = PREFIX,
     postings = stored(suffixes(docs, length=length, prefix=prefix), "postings")
     family = IndexFamily()
     batch = F.pmod(F.xxhash64("doc", "body"), F.lit(batches))
-    shared = reduce(DataFrame.unionByName, [family.add(postings.where(batch == k)) for k in range(batches)]).distinct()
+    parts = [family.add(postings.where(batch == k)) for k in range(batches)]
+    shared = stored(reduce(DataFrame.unionByName, parts).distinct(), "shared")
+    for done in (*parts, *(level for _, level in family.levels)):
+        forget(done)
     again = stored(postings.join(shared, "key"), "again")
+    forget(postings)
 
-    runs = again.groupBy("key", "run").agg(F.count("*").alias("times"), F.min(F.struct("doc", "body", "start", "n")).alias("one"))
+    runs = again.groupBy("key", "run").agg(F.count("*").alias("times"), F.min(F.struct("doc", "body", "start", "n", "lead")).alias("one"))
     runs = stored(runs.select("key", "run", "times", "one.*"), "runs")
-    whole = again.join(runs.where("times > 1").select("key", "run"), ["key", "run"]).select("doc", "body", "start", "n")
+    whole = stored(again.join(runs.where("times > 1").select("key", "run"), ["key", "run"]).select("doc", "body", "start", "n"), "found")
+    forget(again)
     # Where a prefix continues in several ways, parts of these may agree: one occurrence of each is compared by window.
-    differing = runs.groupBy("key").agg(F.count("*").alias("ways")).where("ways > 1").select("key")
-    windows = stored(_windows(docs, runs.join(differing, "key"), length), "windows")
-    equal = windows.groupBy("key", "hash").agg(F.count("*").alias("times")).where("times > 1").select("key", "hash")
-    single = windows.join(equal, ["key", "hash"]).select("doc", "body", "start", F.lit(1).alias("n"))
-    return whole.unionByName(single)
+    differing = stored(runs.groupBy("key").agg(F.count("*").alias("ways")).where("ways > 1").select("key"), "differing")
+    blocks = stored(_blocks(docs, runs.join(differing, "key"), length), "blocks")
+    forget(runs)
+    return reduce(DataFrame.unionByName, [whole, *_equal_windows(blocks)])
 
 
 def remove_repeats(docs: DataFrame, *, length: int = LENGTH, prefix: int = PREFIX, batches: int = 4) -> DataFrame:
