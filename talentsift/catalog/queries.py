@@ -302,34 +302,30 @@ def _earlier() -> Column:
 @query
 def upsert_creators(t: Samples) -> DataFrame:
     """Sightings of the later payloads over the creators that the earlier ones left."""
-    handled = parsing.handled(_parsed(t))
-    stored = (
-        handled.where(_earlier())
-        .groupBy("platform", "external_id")
-        .agg(F.min("fetched_at").alias("first_discovered_at"), F.max("fetched_at").alias("last_seen_at"))
-        .select(
-            dedup.creator_key(F.col("platform"), F.col("external_id")).alias("creator_id"),
-            "platform",
-            "external_id",
-            "first_discovered_at",
-            "last_seen_at",
-            F.lit("inactive").alias("status"),
-        )
+    stamp = F.col("fetched_at")
+    seen = parsing.handled(_parsed(t)).groupBy("platform", "external_id").agg(
+        F.min(F.when(_earlier(), stamp)).alias("first_discovered_at"),
+        F.max(F.when(_earlier(), stamp)).alias("last_seen_at"),
+        F.min(F.when(~_earlier(), stamp)).alias("first_sighting"),
+        F.max(F.when(~_earlier(), stamp)).alias("last_sighting"),
+    )
+    stored = seen.where(F.col("first_discovered_at").isNotNull()).select(
+        dedup.creator_key(F.col("platform"), F.col("external_id")).alias("creator_id"),
+        "platform",
+        "external_id",
+        "first_discovered_at",
+        "last_seen_at",
+        F.lit("inactive").alias("status"),
     )
-    seen = enrich.sightings(_parsed(t).where(~_earlier()), F.col("fetched_at"))
-    return dedup.upsert_creators(stored, seen)
+    later = seen.where(F.col("first_sighting").isNotNull())
+    return dedup.upsert_ranges(stored, later.select("platform", "external_id", "first_sighting", "last_sighting"))
 
 
 @query
 def upsert_videos(t: Samples) -> DataFrame:
     """New state of the videos table: stored videos stay, unseen ones are added once."""
-    listed = parsing.videos(_parsed(t))
-    earlier, later = listed.where(_earlier()), listed.where(~_earlier())
-    as_of = F.col("fetched_at")
-    nothing = t.spark.createDataFrame([], "video_id string")
-    stored = enrich.new_videos(earlier, nothing, as_of)
-    added = enrich.new_videos(later, stored, as_of)
-    return stored.unionByName(added).select("video_id", "creator_id", "posted_at", "is_ad", "first_seen_at")
+    rows = enrich.merged_videos(parsing.videos(_parsed(t)), ~_earlier(), F.col("fetched_at"))
+    return rows.select("video_id", "creator_id", "posted_at", "is_ad", "first_seen_at")
 
 
 # Latest rows and signals

@@ -87,11 +87,15 @@ SHAPES: dict[str, Shape] = {
 
 
 def profile_fields(item: Column) -> list[Column]:
+    author_id = V.text(item["authorMeta"]["id"])
+    return [F.lit(PLATFORM).alias("platform"), author_id.alias("external_id"), *profile_figures(item)]
+
+
+def profile_figures(item: Column) -> list[Column]:
+    """What a snapshot records of a profile."""
     author = item["authorMeta"]
     commerce = V.truthy(author["commerceUserInfo"]["commerceUser"]) | V.truthy(author["ttSeller"])
     return [
-        F.lit(PLATFORM).alias("platform"),
-        V.text(author["id"]).alias("external_id"),
         F.coalesce(author["name"], F.lit("")).alias("handle"),
         V.integer(author["fans"]).alias("follower_count"),
         V.integer(author["following"]).alias("following_count"),
@@ -121,6 +125,9 @@ def video_fields(item: Column) -> list[Column]:
     ]
 
 
+_LANDING = ("raw_id", "platform", "external_id", "fetched_at")
+
+
 def _by_shape(source_type: Column, cases: dict[str, Column]) -> Column:
     chain = F
     for name, value in cases.items():
@@ -176,14 +183,19 @@ def parse_payloads(raw: DataFrame, shapes: dict[str, Shape] = SHAPES) -> DataFra
     return judged.select(*landed, "payload", outcome.alias("outcome"), "error", "reason")
 
 
-def profiles(parsed: DataFrame, shapes: dict[str, Shape] = SHAPES) -> DataFrame:
-    """The profile of each parsed payload that carries one, keyed by its landing row."""
+def _profile_item(shapes: dict[str, Shape]) -> tuple[Column, Column]:
+    """Whether a payload carries a readable profile, and its profile item."""
     cases = {name: shape for name, shape in shapes.items() if shape.profile}
     item = _by_shape(
         F.col("source_type"), {name: shape.profile(F.col("payload")) for name, shape in cases.items()}
     )
-    readable = parsed.where((F.col("outcome") == PARSED) & F.col("source_type").isin(*cases))
-    return readable.select("*", item.alias("item")).select(
+    return (F.col("outcome") == PARSED) & F.col("source_type").isin(*cases), item
+
+
+def profiles(parsed: DataFrame, shapes: dict[str, Shape] = SHAPES) -> DataFrame:
+    """The profile of each parsed payload that carries one, keyed by its landing row."""
+    readable, item = _profile_item(shapes)
+    return parsed.where(readable).select("*", item.alias("item")).select(
         "raw_id",
         "fetched_at",
         F.col("platform").alias("landed_platform"),
@@ -192,7 +204,14 @@ def profiles(parsed: DataFrame, shapes: dict[str, Shape] = SHAPES) -> DataFrame:
     )
 
 
-_LANDING = ("raw_id", "platform", "external_id", "fetched_at")
+def fetches(parsed: DataFrame, shapes: dict[str, Shape] = SHAPES) -> DataFrame:
+    """Every fetch with its profile fields in one pass; a soft failure has its ``reason`` and none of them."""
+    readable, item = _profile_item(shapes)
+    missed = F.col("outcome") == FAILED_FETCH
+    opened = parsed.where(readable | missed).select(
+        *_LANDING, missed.alias("missed"), "reason", F.when(~missed, item).alias("item")
+    )
+    return opened.select(*_LANDING, "missed", "reason", *profile_figures(F.col("item")))
 
 
 def _video_lists(parsed: DataFrame, shapes: dict[str, Shape]) -> DataFrame:

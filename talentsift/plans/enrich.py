@@ -42,31 +42,14 @@ def profile_snapshots(parsed: DataFrame, as_of: Column) -> DataFrame:
     The creator is the one the fetch was made for, whatever id the payload
     names. A failed fetch keeps the external id as handle and no figures.
     """
-    fetched = parsing.profiles(parsed).select(
-        "raw_id",
-        "fetched_at",
-        F.col("landed_platform").alias("platform"),
-        F.col("landed_external_id").alias("external_id"),
-        *_PROFILE_COLUMNS,
-        F.lit(SUCCESS).alias("scrape_status"),
-    )
-    missed = parsed.where(F.col("outcome") == parsing.FAILED_FETCH).select(
-        "raw_id",
-        "fetched_at",
-        "platform",
-        "external_id",
-        F.col("external_id").alias("handle"),
-        *[F.lit(None).cast("bigint").alias(column) for column in _PROFILE_COLUMNS[1:5]],
-        *[F.lit(None).cast("string").alias(column) for column in _PROFILE_COLUMNS[5:7]],
-        *[F.lit(False).alias(column) for column in _PROFILE_COLUMNS[7:]],
-        F.col("reason").alias("scrape_status"),
-    )
-    return fetched.unionByName(missed).select(
+    handle = F.when(F.col("missed"), F.col("external_id")).otherwise(F.col("handle"))
+    return parsing.fetches(parsed).select(
         digest(F.lit("profile"), F.col("raw_id")).alias("snapshot_id"),
         creator_key(F.col("platform"), F.col("external_id")).alias("creator_id"),
         as_of.cast("date").alias("snapshot_date"),
-        *_PROFILE_COLUMNS,
-        "scrape_status",
+        handle.alias("handle"),
+        *_PROFILE_COLUMNS[1:],
+        F.when(F.col("missed"), F.col("reason")).otherwise(SUCCESS).alias("scrape_status"),
         as_of.alias("created_at"),
         "raw_id",
     )
@@ -95,6 +78,13 @@ def new_videos(listed: DataFrame, existing: DataFrame, as_of: Column) -> DataFra
     return fresh.drop("fetched_at", "raw_id", "pos")
 
 
+def merged_videos(listed: DataFrame, arriving: Column, as_of: Column) -> DataFrame:
+    """The videos table after ``arriving`` rows come on top of the others, in one ranking per video."""
+    rows = video_rows(listed, as_of).withColumn("arriving", arriving)
+    order = [F.asc("arriving"), F.asc("fetched_at"), F.asc("raw_id"), F.asc("pos")]
+    return dedup.first_per_key(rows, ["video_id"], order).drop("fetched_at", "raw_id", "pos", "arriving")
+
+
 def video_snapshots(listed: DataFrame, as_of: Column) -> DataFrame:
     return listed.select(
         digest(F.lit("video"), F.col("raw_id"), F.col("pos")).alias("snapshot_id"),

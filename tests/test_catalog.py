@@ -4,12 +4,12 @@ import __spark_entry__ as entry_point
 import duckdb
 import pytest
 
+from talentsift.catalog.oracles import ORACLES
+from talentsift.catalog.queries import QUERIES
 from tests.conftest import plan_of
 from tests.oracle import connect, differences
 
 FOLDER = "/root/testdata/sf0.01"
-from talentsift.catalog.oracles import ORACLES  # noqa: E402
-from talentsift.catalog.queries import QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -81,6 +81,12 @@ def test_filters_do_not_parse_json_again(spark, name):
             assert "from_json" not in line and "parseJson" not in line
 
 
+@pytest.mark.parametrize("name", ["enrich_snapshots", "profile_snapshots", "upsert_videos"])
+def test_payloads_are_scanned_and_parsed_once(spark, name):
+    plan = _final_plan(spark, name)
+    assert plan.count("FileScan") == 1 and "Union" not in plan
+
+
 def test_scans_read_only_what_they_use(spark):
     plan = _final_plan(spark, "latest_score_with_ties")
     scans = [line for line in plan.splitlines() if "FileScan" in line]
