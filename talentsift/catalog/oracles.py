@@ -451,6 +451,33 @@ ORACLES: dict[str, str] = {
         """SELECT platform, source_type, external_id, payload, 'pending' AS parse_status,
                   '2024-01-31' AS fetched_on FROM envelopes""",
     ),
+    "ingest_round": _with(
+        _QUEUE,
+        """
+        , lists AS (
+            SELECT queue_id, external_id, event_id, '{"id":' || event_id || ',"note":"' || event_type || '"}' AS item,
+                   (event_id - min(event_id) OVER (PARTITION BY queue_id)) // 30 AS page
+            FROM batch JOIN events ON CAST(user_id AS VARCHAR) = external_id
+            WHERE event_type NOT IN ('error', 'signup') AND queue_id % 5 <> 0
+        ), pages AS (
+            SELECT queue_id, external_id, page, '"video_items":[' || string_agg(item, ',' ORDER BY event_id) || ']}' AS videos,
+                   min_by(item, event_id) AS lead
+            FROM lists GROUP BY ALL
+            UNION ALL
+            SELECT queue_id, external_id, 0, NULL, NULL FROM batch
+            WHERE queue_id % 5 <> 0 AND queue_id NOT IN (SELECT queue_id FROM lists)
+        )
+        SELECT 'landed' AS part, sha256('["payload","' || queue_id || '","' || page || '","2024-01-31 00:00:00"]') AS id, external_id,
+               CASE WHEN page = 0 THEN 'profile' ELSE 'profile_page' END AS label,
+               CASE WHEN videos IS NULL THEN '{"ok":false,"reason":"no_data"}'
+                    WHEN page = 0 THEN '{"profile_item":' || lead || ',' || videos ELSE '{' || videos END AS detail
+        FROM pages
+        UNION ALL
+        SELECT 'queue', CAST(queue_id AS VARCHAR), external_id, CASE WHEN queue_id % 5 = 0 THEN 'failed' ELSE 'done' END,
+               CASE WHEN queue_id % 5 = 0 THEN 'HTTP 503 (service unavailable)' ELSE error END
+        FROM batch
+        """,
+    ),
     "pending_payloads": _with(
         _PAYLOADS,
         """SELECT event_id AS raw_id, 'tiktok' AS platform, external_id FROM payloads

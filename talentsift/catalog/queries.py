@@ -24,7 +24,7 @@ from talentsift.operators.latest import (
     score_order,
     snapshot_order,
 )
-from talentsift.plans import discover, enrich, handoff, score
+from talentsift.plans import discover, enrich, handoff, ingest, score
 from talentsift.rules import HASHTAG_SOURCE, PENDING, Rules
 from talentsift.session import prepare, shared_folder
 from talentsift.sources.samples import (
@@ -152,9 +152,28 @@ def land_raw_payloads(t: Samples) -> DataFrame:
         F.to_date(_at(EVENTS_AS_OF)).alias("fetched_on"),
     )
     path = shared_folder(t.spark, "landing")
-    append_daily(landed, path, "fetched_on")
+    for _ in range(2):  # a rerun changes nothing
+        append_daily(landed, path, "fetched_on", round_id="2024-01-31")
     stored = "platform string, source_type string, external_id string, payload string, parse_status string"
-    return read_table(t.spark, path, f"{stored}, fetched_on date")
+    return read_table(t.spark, path, f"{stored}, fetched_on date, round string").drop("round")
+
+
+@query
+def ingest_round(t: Samples) -> DataFrame:
+    """Landed payloads of the next queue batch, and the states that its queue rows end up with."""
+    queued = t.ingestion_queue()
+    batch = ingest.fetch_requests(queued, RULES)
+    items = batch.join(t.user_items(), "external_id").select("request_id", "pos", "item")
+    done = ingest.ingest(queued, items, t.raised_fetches(), _at(EVENTS_AS_OF), RULES)
+    states = done.queue.join(batch.select(F.col("request_id").alias("queue_id")), "queue_id", "left_semi")
+    landed = done.raw_payloads.select(
+        F.lit("landed").alias("part"), F.col("raw_id").alias("id"), "external_id", F.col("source_type").alias("label"), F.col("payload").alias("detail")
+    )
+    return landed.unionByName(
+        states.select(
+            F.lit("queue").alias("part"), F.col("queue_id").cast("string").alias("id"), "external_id", F.col("status").alias("label"), F.col("error").alias("detail")
+        )
+    )
 
 
 @query
@@ -275,8 +294,9 @@ def profile_snapshots(t: Samples) -> DataFrame:
     rows = enrich.profile_snapshots(_parsed(t), _at(EVENTS_AS_OF))
     kept = rows.select("raw_id", "handle", "lifetime_likes", "bio", "scrape_status", "snapshot_date")
     path = shared_folder(t.spark, "profile-snapshots")
-    append_daily(kept, path, "snapshot_date")
-    return read_table(t.spark, path, ", ".join(f"{name} {kind}" for name, kind in kept.dtypes))
+    append_daily(kept, path, "snapshot_date", round_id="2024-01-31")
+    stored = ", ".join(f"{name} {kind}" for name, kind in kept.dtypes)
+    return read_table(t.spark, path, f"{stored}, round string").drop("round")
 
 
 @query

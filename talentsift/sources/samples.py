@@ -372,6 +372,28 @@ class Samples:
             )
         )
 
+    def user_items(self) -> DataFrame:
+        """What a fetch of a user returns: an item for each of their events but errors and signups."""
+        return (
+            self.table("events")
+            .where(~F.col("event_type").isin("error", "signup"))
+            .select(
+                F.col("user_id").cast("string").alias("external_id"),
+                F.col("event_id").alias("pos"),
+                _json(id=_number(F.col("event_id")), note=_quoted(F.col("event_type"))).alias("item"),
+            )
+        )
+
+    def raised_fetches(self) -> DataFrame:
+        """Fetches that raise: those of every fifth queue row find the service unavailable."""
+        return self.table("orders").where(F.col("o_orderkey") % 5 == 0).select(
+            F.col("o_orderkey").alias("request_id"),
+            F.lit(HTTP).alias("kind"),
+            F.lit(503).alias("status_code"),
+            F.lit(None).cast("string").alias("error_type"),
+            F.lit(None).cast("string").alias("message"),
+        )
+
     # Bios, from web pages
 
     def bios(self) -> DataFrame:

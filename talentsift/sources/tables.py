@@ -12,13 +12,14 @@ def read_table(spark: SparkSession, path: str, schema: str | None = None) -> Dat
     return reader.parquet(path)
 
 
-def append_daily(rows: DataFrame, path: str, date_column: str) -> None:
-    """Append to a date-partitioned history.
+def append_daily(rows: DataFrame, path: str, date_column: str, round_id: str) -> None:
+    """Append one round to a history that is partitioned by round and date.
 
-    Rebalancing gives each date few files and lets AQE split a date that is
-    too large for one writer.
+    A rerun of the round replaces what it wrote before. Rebalancing gives each
+    date few files and lets AQE split a date that is too large for one writer.
     """
-    rows.hint("rebalance", date_column).write.mode("append").partitionBy(date_column).parquet(path)
+    spread = rows.hint("rebalance", date_column)
+    spread.write.mode("overwrite").partitionBy(date_column).parquet(f"{path}/round={round_id}")
 
 
 def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
@@ -26,17 +27,6 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
-def write_version(rows: DataFrame, path: str, version: int) -> DataFrame:
-    """Write the next state of a table next to the one it was computed from, and read it back.
-
-    A state table has a single writer. Reading the written files also cuts the
-    lineage, and any executor can reach them again.
-    """
-    target = f"{path}/version={version}"
-    rows.write.mode("overwrite").parquet(target)
-    return rows.sparkSession.read.schema(rows.schema).parquet(target)
-
-
 def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """All micro-batches of a table, with their ``batch_id``; empty when no batch has run."""
     full = f"{schema.strip()}, batch_id bigint"

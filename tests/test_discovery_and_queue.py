@@ -7,10 +7,12 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from talentsift import schemas
 from talentsift.functions import failures
 from talentsift.operators import dedup, discovery, queue, reports
-from talentsift.plans import discover
+from talentsift.plans import discover, ingest
 from talentsift.rules import HASHTAG_SOURCE, Rules
+from talentsift.sources.tables import append_daily, read_table
 from tests.conftest import rows
 
 RULES = Rules()
@@ -156,3 +158,28 @@ def test_quota_errors_count_failed_rows_only(spark):
         "status string, error string",
     )
     assert reports.quota_errors(frame, RULES).first().n == 3
+
+
+def test_an_ingest_round_keeps_failures_and_reruns_alike(spark, state):
+    queued = state.selectExpr("*", "'tiktok' as platform", "queue_id as external_id")
+    items = spark.createDataFrame([("b", 3, "{}"), ("a", 0, "{}"), ("d", 0, "{}")], "request_id string, pos int, item string")
+    raised = spark.createDataFrame([("a", "http", 429, None, None)], "request_id string, kind string, status_code int, error_type string, message string")
+    stamp = F.lit(NOON).cast("timestamp")
+
+    def run():
+        return ingest.ingest(queued, items, raised, stamp, Rules(fetch_batch=3))
+
+    done = run()
+    assert {r.queue_id: (r.status, r.error) for r in done.queue.collect()}["a"] == ("failed", "HTTP 429 (rate limited)")
+    landed = {r.external_id: r.payload for r in done.raw_payloads.collect()}
+    assert landed == {"b": '{"profile_item":{},"video_items":[{}]}', "c": '{"ok":false,"reason":"no_data"}'}
+    assert rows(run().raw_payloads) == rows(done.raw_payloads)
+    stored = spark.createDataFrame([], schemas.RAW_PAYLOADS).schema
+    assert [(f.name, f.dataType) for f in done.raw_payloads.schema] == [(f.name, f.dataType) for f in stored]
+
+
+def test_appending_a_round_again_replaces_it(spark, tmp_path):
+    frame = spark.createDataFrame([(1, "2026-01-01"), (2, "2026-01-02")], "x int, d string").selectExpr("x", "cast(d as date) d")
+    for round_id in ("r1", "r1", "r2"):
+        append_daily(frame, str(tmp_path / "t"), "d", round_id)
+    assert sorted(r.x for r in read_table(spark, str(tmp_path / "t")).collect()) == [1, 1, 2, 2]
