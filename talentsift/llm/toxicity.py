@@ -24,9 +24,9 @@ from talentsift.llm.common import chunks, mix64, prefix_hash, span_hash, word_sp
 from talentsift.llm.labelled import held_out, training_sample
 
 SCORES = "doc_id bigint, score double, n_tokens bigint, spans array<struct<start:bigint,end:bigint>>"
-TRAINING_ROWS = 6000
+TRAINING_ROWS = 4000
 THRESHOLD = 0.7
-STEMS = (3, 4, 5, 6, 7, 8, 9, 10)
+STEMS = (4, 5, 6, 7, 8)
 SMALL = 1e-12
 
 
@@ -77,7 +77,8 @@ def all_tokens(bodies: list[bytes], lengths: tuple[int, ...] = ()) -> Tokens:
     parts, chains = [], 0
     for a, b in chunks(bodies):
         t = tokens(bodies[a:b], lengths)
-        parts.append(Tokens(t.word, t.text + a, t.start, t.end, t.chain + chains, t.stems))
+        small = (x.astype(np.int32) for x in (t.text + a, t.start, t.end, t.chain + chains))
+        parts.append(Tokens(t.word, *small, t.stems))
         chains += int(t.chain[-1]) + 1 if len(t.chain) else 0
     if not parts:
         return tokens([], lengths)
@@ -211,7 +212,7 @@ def train(samples: list[tuple[str, int]], *, rounds: int = 40, least_df: int = 5
     spans = list(zip(bounds, bounds[1:], strict=False))
     told = lexicon([np.unique(np.concatenate([t.word[a:b], t.stems[:, a:b].ravel()])) for a, b in spans], labels)
     told = told[told != 0]
-    stem_rows = np.isin(t.stems, told)
+    stem_rows = np.stack([np.isin(row, told) for row in t.stems])
     lengths = tuple(n for n, row in zip(STEMS, stem_rows, strict=True) if row.any())
     t.stems = t.stems[stem_rows.any(axis=1)]
     truth = (np.isin(t.word, told) | stem_rows.any(axis=0)) & (labels[t.text] == 1) if len(t.word) else np.zeros(0, bool)
