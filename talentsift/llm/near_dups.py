@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talentsift.llm.common import mix64, prefix_hash, shingle_hashes, span_hash, stored, word_spans
+from talentsift.llm.common import forget, mix64, prefix_hash, shingle_hashes, span_hash, stored, word_spans
 from talentsift.llm.graph import components
 
 SIGNATURES = "node bigint, body string, bands array<bigint>, sig binary"
@@ -149,9 +149,15 @@ def node_key(docs: DataFrame) -> DataFrame:
     return docs.withColumn("node", F.coalesce(F.col("doc_id").cast("long"), -F.shiftrightunsigned(F.xxhash64(text), 1) - 1))
 
 
-def _bodies(docs: DataFrame) -> DataFrame:
+def _bodies(docs: DataFrame, *columns: str) -> DataFrame:
+    """``node``, ``body`` (a hash of the text) and some columns of each row."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return node_key(docs).select("node", F.md5(text.cast("binary")).alias("body"), F.lower(text).cast("binary").alias("words"))
+    return node_key(docs).select("node", F.md5(text.cast("binary")).alias("body"), *columns)
+
+
+def _worded(docs: DataFrame) -> DataFrame:
+    words = F.lower(F.coalesce(F.col("text"), F.lit(""))).cast("binary")
+    return _bodies(docs.withColumn("words", words), "words")
 
 
 def _parts(sizes: list[int], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
@@ -192,7 +198,7 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
                     names=["node", "body", "bands", "sig"],
                 )
 
-    return _bodies(docs).mapInArrow(sign, SIGNATURES)
+    return _worded(docs).mapInArrow(sign, SIGNATURES)
 
 
 def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, settings: Settings) -> DataFrame:
@@ -213,7 +219,7 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, settings: Set
                 sets = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(value.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), sets], names=["node", "elements"])
 
-    texts = _bodies(docs).join(wanted, ["node", "body"], "left_semi").dropDuplicates(["node", "body"]).select("node", "words")
+    texts = _worded(docs).join(wanted, ["node", "body"], "left_semi").dropDuplicates(["node", "body"]).select("node", "words")
     sets = texts.mapInArrow(spell, "node bigint, elements array<bigint>")
     sets = stored(sets, "sets")
     joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("x")), "a").join(
@@ -222,7 +228,10 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, settings: Set
     both = F.size(F.array_intersect("x", "y"))
     rows = joined.select("a", "b", F.size("x").alias("nx"), F.size("y").alias("ny"), both.alias("both"))
     similarity = F.col("both") / (F.col("nx") + F.col("ny") - F.col("both"))
-    return stored(rows.groupBy("a", "b").agg(F.max(similarity).alias("similarity")), "similar")
+    found = stored(rows.groupBy("a", "b").agg(F.max(similarity).alias("similarity")), "similar")
+    forget(sets)
+    forget(pairs)
+    return found
 
 
 def _remaining(batches: Iterator[pa.RecordBatch], settings: Settings) -> Iterator[pa.RecordBatch]:
@@ -268,14 +277,17 @@ def links(docs: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame,
         signed.groupBy("body").agg(F.min("node").alias("node"), F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig")), "nodes"
     )
     members = signed.select(F.col("node").alias("id"), "body").distinct().join(nodes.select("node", "body"), "body").select("id", "node").distinct()
+    members = stored(members, "members")
+    forget(signed)
 
     buckets = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     sizes = buckets.groupBy("bucket", "band").agg(F.count("*").alias("size")).where("size > 1")
-    shared = stored(buckets.join(sizes, ["bucket", "band"]), "buckets")
-    company = shared.groupBy("node").agg(F.sum("size").alias("company"))
-    pivots = shared.join(company, "node").groupBy("bucket", "band").agg(F.max(F.struct("company", -F.col("node"))).alias("best"))
+    found = stored(buckets.join(sizes, ["bucket", "band"]), "buckets")
+    company = found.groupBy("node").agg(F.sum("size").alias("company"))
+    pivots = found.join(company, "node").groupBy("bucket", "band").agg(F.max(F.struct("company", -F.col("node"))).alias("best"))
     pivots = pivots.select("bucket", "band", (-F.col("best")["col2"]).alias("pivot"))
-    shared = stored(shared.join(pivots, ["bucket", "band"]), "buckets")
+    shared = stored(found.join(pivots, ["bucket", "band"]), "buckets")
+    forget(found)
     first = _verified(docs, nodes, shared.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), settings)
     near = first.where(F.col("similarity") >= settings.threshold).select("a", "b")
 
@@ -287,6 +299,7 @@ def links(docs: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame,
         .join(first.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "similarity"), ["pivot", "node"])
     )
     open_rows = stored(open_rows, "open")
+    forget(shared)
     mixed = open_rows.groupBy("bucket", "band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("bucket", "band")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
@@ -304,6 +317,8 @@ def links(docs: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame,
         .sortWithinPartitions("bucket", "lo", "hi", "band")
     )
     more = _verified(docs, nodes, dealt.mapInArrow(lambda batches: _remaining(batches, settings), "a bigint, b bigint").distinct(), settings)
+    forget(open_rows)
+    forget(nodes)
     return members, near.unionByName(more.where(F.col("similarity") >= settings.threshold).select("a", "b"))
 
 
@@ -317,7 +332,6 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     joins their classes.
     """
     members, found = links(docs, settings)
-    members = stored(members, "members")
     several = members.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("id", "a")
     joined = members.join(several, "id").select("a", F.col("node").alias("b"))
     whole = components(found.unionByName(joined))
@@ -335,9 +349,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
 
 def keep_one(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One row of each class, with all its columns: of the smallest id and, among its rows, the smallest text."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = node_key(docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))).select("node", text.alias("text"), "row")
+    """One row of each class, with all its columns: of the smallest id and, among its texts, that of the smallest hash."""
+    keyed = _bodies(docs.select("doc_id", "text", F.struct(*docs.columns).alias("row")), "row")
     kept = classes(docs, settings).where("id = class_id").select(F.col("id").alias("node"))
-    lowest = keyed.groupBy("node").agg(F.min("text").alias("text")).join(kept, "node")
-    return keyed.join(lowest, ["node", "text"], "left_semi").dropDuplicates(["node", "text"]).select("row.*")
+    lowest = stored(keyed.groupBy("node").agg(F.min("body").alias("body")).join(kept, "node"), "kept")
+    return keyed.join(lowest, ["node", "body"], "left_semi").dropDuplicates(["node", "body"]).select("row.*")
