@@ -6,7 +6,8 @@ are made distinct within a page before they are counted, so counting is one
 sum that combines before its shuffle; a hot host or line costs no more than
 others. A host has fewer boilerplate lines than its mean lines per page over
 the ratio, since their counts share its line slots, so the set kept per host
-is bounded.
+is bounded. That set is copied to ``SALTS`` parts of the host, and pages go to
+a part by hash, so the pages of a hot host spread over as many tasks.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ BLOCKS = (
     r"|section|table|tbody|td|th|thead|title|tr|ul)(?:\s[^>]*|/)?>"
 )
 TAGS = r"<[^>]+>"
+SALTS = 64
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)"
 
 
@@ -46,29 +48,34 @@ def drop_boilerplate(pages: DataFrame, *, host: str = "host", text: str = "text"
     empty host; a null text stays null with no lines. Rows that repeat are
     pages of their own. Columns of other names pass through.
     """
-    lines = F.split(F.col(text), "\n", -1)
-    site = F.coalesce(F.col(host).cast("string"), F.lit("")).alias("_host")
+    body = F.col(text)
+    lines = F.split(body, "\n", -1)
+    site = F.coalesce(F.col(host).cast("string"), F.lit(""))
+    row = F.struct(*pages.columns)
+    keyed = pages.select(row.alias("row"), site.alias("site"), F.pmod(F.xxhash64(row), F.lit(SALTS)).alias("part"))
     keys = F.array_distinct(F.transform(F.filter(lines, lambda x: F.trim(x) != ""), _key))
-    totals = pages.groupBy(site).agg(F.count("*").alias("_pages"))
-    counts = pages.select(site, F.explode(keys).alias("_line")).groupBy("_host", "_line").agg(F.count("*").alias("_with"))
+    totals = pages.groupBy(site.alias("site")).agg(F.count("*").alias("pages"))
+    counts = pages.select(site.alias("site"), F.explode(keys).alias("line")).groupBy("site", "line").agg(F.count("*").alias("holding"))
     boilerplate = (
-        counts.where(F.col("_with") >= min_pages)
-        .join(totals, "_host")
-        .where(F.col("_with") > F.col("_pages") * F.lit(ratio))
-        .groupBy("_host")
-        .agg(F.collect_set("_line").alias("_drop"))
+        counts.where(F.col("holding") >= min_pages)
+        .join(totals, "site")
+        .where(F.col("holding") > F.col("pages") * F.lit(ratio))
+        .groupBy("site")
+        .agg(F.collect_set("line").alias("drop"))
+        .select("site", "drop", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")).alias("part"))
+    )
+    drop = F.coalesce("drop", F.array().cast("array<string>"))
+    kept = F.when(F.size(drop) == 0, F.col("lines")).otherwise(
+        F.filter("lines", lambda x: (F.trim(x) == "") | ~F.array_contains(drop, _key(x)))
     )
-    drop = F.coalesce("_drop", F.array().cast("array<string>"))
-    kept = F.when(F.size(drop) == 0, lines).otherwise(F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains(drop, _key(x))))
-    others = [c for c in pages.columns if c not in (text, "n_lines", "n_dropped")]
     return (
-        pages.withColumn("_host", site)
-        .join(boilerplate, "_host", "left")
-        .withColumn("_kept", kept)
+        keyed.join(boilerplate, ["site", "part"], "left")
+        .select("row", "drop", F.split(F.col("row")[text], "\n", -1).alias("lines"))
+        .select("row", "lines", kept.alias("kept"))
         .select(
-            *others,
-            F.when(F.col(text).isNotNull(), F.array_join("_kept", "\n")).alias(text),
-            F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
-            F.coalesce(F.size(lines) - F.size("_kept"), F.lit(0)).cast("long").alias("n_dropped"),
+            *[F.col("row")[c].alias(c) for c in pages.columns if c not in (text, "n_lines", "n_dropped")],
+            F.when(F.col("lines").isNotNull(), F.array_join("kept", "\n")).alias(text),
+            F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"),
+            F.coalesce(F.size("lines") - F.size("kept"), F.lit(0)).cast("long").alias("n_dropped"),
         )
     )

@@ -27,9 +27,9 @@ def test_a_hot_host_ties_nulls_and_repeats_match_brute_force(spark):
     # A line on exactly the ratio of the pages stays.
     rows += [(4000 + i, "edge", "edge line" if i < 5 else f"e{i}") for i in range(50)]
     frame = spark.createDataFrame(rows, "page_id bigint, host string, text string")
-    frame = frame.selectExpr("*", "'a' as _host", "'b' as n_lines", "'c' as _salt", "'d' as line")
+    frame = frame.selectExpr("*", "'a' as _host", "'b' as n_lines", "'c' as _salt", "'d' as line", "1 as row", "2 as site", "3 as part", "4 as drop", "5 as lines")
     out = drop_boilerplate(frame)
-    assert {"_salt", "line"} <= set(out.columns)
+    assert {"_salt", "line", "row", "drop", "site"} <= set(out.columns)
     found = Counter(tuple(r) for r in out.select("page_id", "host", "text", "n_lines", "n_dropped").collect())
     assert found == brute(rows, 0.1, 5)
 
