@@ -14,7 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from talentsift.session import shared_folder
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a step is stored: its shuffle files go when it ends, and Python workers get small batches of whole texts.
+STEP_CONF = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+}
 
 # Split pattern of the public byte-level BPE vocabularies (fixed value).
 BYTE_BPE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -32,12 +36,14 @@ def stored(rows: DataFrame, purpose: str) -> DataFrame:
     """
     spark = rows.sparkSession
     folder = shared_folder(spark, purpose)
-    cleanup = spark.conf.get(CLEANUP)
-    spark.conf.set(CLEANUP, "true")  # the shuffle files of a finished step are of no further use
+    before = {key: spark.conf.get(key) for key in STEP_CONF}
     try:
+        for key, value in STEP_CONF.items():
+            spark.conf.set(key, value)
         rows.write.parquet(folder)
     finally:
-        spark.conf.set(CLEANUP, cleanup)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     return spark.read.schema(rows.schema).parquet(folder)
 
 
