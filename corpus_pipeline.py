@@ -14,6 +14,11 @@ from talentsift.llm.common import stored, table
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# A line is boilerplate on a site that holds it on over a tenth of its pages. A source is a bundle of sites, and a
+# site counts from a twentieth of its source; five different texts are more than near copies of one usually are.
+SOURCE_RATIO = 0.1 / 20
+SOURCE_DOCUMENTS = 5
+
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
@@ -21,8 +26,9 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that more than a tenth of their source's documents hold; a source is a site here."""
-    kept = lines.drop_boilerplate(docs.select(*docs.columns, F.col("source").alias("_site")), host="_site")
+    """Documents without lines that over ``SOURCE_RATIO`` of their source's texts and ``SOURCE_DOCUMENTS`` of them hold."""
+    rows = docs.select(*docs.columns, F.col("source").alias("_site"))
+    kept = lines.drop_boilerplate(rows, host="_site", ratio=SOURCE_RATIO, min_pages=SOURCE_DOCUMENTS, copies_count=False)
     changed = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return kept.withColumn("n_chars", changed).select(*docs.columns)
 

@@ -40,13 +40,17 @@ def _key(line: Column) -> Column:
     return F.md5(F.trim(line).cast("binary"))
 
 
-def drop_boilerplate(pages: DataFrame, *, host: str = "host", text: str = "text", ratio: float = 0.1, min_pages: int = 5) -> DataFrame:
+def drop_boilerplate(
+    pages: DataFrame, *, host: str = "host", text: str = "text", ratio: float = 0.1, min_pages: int = 5, copies_count: bool = True
+) -> DataFrame:
     """The same rows with boilerplate lines taken out of ``text``, plus ``n_lines`` and ``n_dropped``.
 
     A line goes when more than ``ratio`` of the host's pages and at least
     ``min_pages`` of them contain it. Blank lines never go. A null host is the
     empty host; a null text stays null with no lines. Rows that repeat are
-    pages of their own. Columns of other names pass through.
+    pages of their own, unless ``copies_count`` is off: then pages of a host
+    with equal texts count once, so that a text copied often keeps its lines.
+    Columns of other names pass through.
     """
     body = F.col(text)
     lines = F.split(body, "\n", -1)
@@ -54,8 +58,10 @@ def drop_boilerplate(pages: DataFrame, *, host: str = "host", text: str = "text"
     row = F.struct(*pages.columns)
     keyed = pages.select(row.alias("row"), site.alias("site"), F.pmod(F.xxhash64(row), F.lit(SALTS)).alias("part"))
     keys = F.array_distinct(F.transform(F.filter(lines, lambda x: F.trim(x) != ""), _key))
-    totals = pages.groupBy(site.alias("site")).agg(F.count("*").alias("pages"))
-    counts = pages.select(site.alias("site"), F.explode(keys).alias("line")).groupBy("site", "line").agg(F.count("*").alias("holding"))
+    number = F.count("*") if copies_count else F.count_distinct("copy")
+    known = pages.select(site.alias("site"), *([] if copies_count else [F.xxhash64(body).alias("copy")]), keys.alias("keys"))
+    totals = known.groupBy("site").agg(number.alias("pages"))
+    counts = known.withColumn("line", F.explode("keys")).groupBy("site", "line").agg(number.alias("holding"))
     boilerplate = (
         counts.where(F.col("holding") >= min_pages)
         .join(totals, "site")

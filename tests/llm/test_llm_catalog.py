@@ -52,3 +52,18 @@ def test_stages_run_on_empty_and_odd_documents(spark):
     for frame in (spark.createDataFrame([], schema), spark.createDataFrame(rows, schema)):
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, frame, SMALL).count() >= 0
+
+
+def test_repeated_lines_of_small_large_and_hot_sources_go_and_single_lines_stay(spark):
+    rows = []
+    for source, size in (("small", 500), ("large", 2_000), ("hot", 20_000)):
+        for k in range(size):
+            shares = [p for p in (1, 2, 5, 10) if k % (100 // p) == 0]
+            rows.append((len(rows), "\n".join([*(f"notice {p}" for p in shares), f"body {k} of {source}", f"pair {k // 2}"]), source))
+    rows += [(len(rows) + k, "copied text\nof two lines", "small") for k in range(100)]  # one text, copied often
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").withColumn("n_chars", F.length("text").cast("long"))
+    found = corpus_pipeline.drop_boilerplate_lines(spark, docs.repartition(8), SMALL)
+    kept = {r["doc_id"]: r for r in found.collect()}
+    for i, text, _ in rows:
+        assert kept[i]["text"] == "\n".join(x for x in text.split("\n") if not x.startswith("notice"))
+        assert kept[i]["n_chars"] == len(kept[i]["text"])
