@@ -240,17 +240,16 @@ def _remaining(batches: Iterator[pa.RecordBatch], settings: Settings) -> Iterato
 
     def compare(rows: list[dict], lo: int, hi: int, band: int) -> pa.RecordBatch | None:
         sig = np.frombuffer(b"".join(r["sig"] for r in rows), np.uint8).reshape(len(rows), k)
+        bands = np.array([r["bands"] for r in rows], np.int64)
         block, comp, sim, node = (np.array([r[c] for r in rows]) for c in ("block", "component", "similarity", "node"))
         left, right = [], []
         for i in np.flatnonzero(block == lo):
             j = np.flatnonzero((comp != comp[i]) & (np.abs(sim - sim[i]) <= slack) & ((node > node[i]) if lo == hi else (block == hi)))
             if not len(j):
                 continue
-            same = sig[j] == sig[i]
-            j, same = j[near := same.sum(axis=1) >= least], same[near]
-            # A pair that shares several buckets belongs to the first of them.
-            first = same.reshape(len(j), settings.bands, settings.rows).all(axis=2).argmax(axis=1)
-            j = j[first == band]
+            j = j[(sig[j] == sig[i]).sum(axis=1) >= least]
+            # A pair that shares several buckets belongs to the first of them; bytes of ``sig`` may agree by chance.
+            j = j[(bands[j] == bands[i]).argmax(axis=1) == band]
             left.append(np.minimum(node[i], node[j]))
             right.append(np.maximum(node[i], node[j]))
         if not left:
@@ -311,8 +310,8 @@ def links(docs: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame,
         .select("bucket", "band", "node", "component", "similarity", "block", partner.alias("other"))
         .withColumn("lo", F.least("block", "other"))
         .withColumn("hi", F.greatest("block", "other"))
-        .join(nodes.select("node", "sig"), "node")
-        .select("bucket", "band", "lo", "hi", "block", "node", "component", "similarity", "sig")
+        .join(nodes.select("node", "sig", "bands"), "node")
+        .select("bucket", "band", "lo", "hi", "block", "node", "component", "similarity", "sig", "bands")
         .repartition("bucket", "band", "lo", "hi")
         .sortWithinPartitions("bucket", "lo", "hi", "band")
     )

@@ -5,6 +5,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from talentsift.llm import near_dups
@@ -108,3 +109,20 @@ def test_components_of_chains_stars_and_loops(spark):
     found = {row["node"]: row["component"] for row in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert {k: v for k, v in found.items() if k != v} == expected
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_bytes_that_collide_in_an_earlier_band_do_not_hide_a_pair():
+    settings = near_dups.Settings()
+    r = np.random.default_rng(5)
+    sig = r.integers(0, 256, (2, settings.k), dtype=np.uint8)
+    sig[1] = sig[0]
+    bands = r.integers(1, 1 << 62, (2, settings.bands))
+    bands[1, 3] = bands[0, 3]  # bands 0 to 2 agree in all bytes but are different buckets
+    bands[1, 7] = bands[0, 7]
+
+    def pairs(band):
+        shared = {"bucket": int(bands[0, band]), "band": band, "lo": 0, "hi": 0, "block": 0, "similarity": 0.7}
+        rows = [{**shared, "node": n, "component": n, "sig": s.tobytes(), "bands": b.tolist()} for n, s, b in zip((11, 12), sig, bands, strict=True)]
+        return [p for out in near_dups._remaining(pa.Table.from_pylist(rows).to_batches(), settings) for p in out.to_pylist()]
+
+    assert [pairs(band) for band in (3, 7)] == [[{"a": 11, "b": 12}], []]
