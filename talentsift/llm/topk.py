@@ -51,7 +51,7 @@ class SortedLists:
         self.values = np.take_along_axis(self.rows, self.lists, axis=0)
 
     def search(self, query_id: int, query: np.ndarray, k: int, depth: int) -> list[tuple[int, int]]:
-        """The k best (score, id) of the block for one query, without its own id."""
+        """The k best (score, id) of the block for one query, each id once, without its own id."""
         n, dims = self.rows.shape
         small = int(np.abs(query).max(initial=0)) * self.limit * max(1, dims) < 1 << 53
         weights = query.astype(np.float64) if small else query.astype(object)
@@ -72,6 +72,9 @@ class SortedLists:
             new = new[self.ids[new] != query_id]
             found = table[new] @ weights if dims else np.zeros(len(new))
             ids, scores = np.concatenate([ids, self.ids[new]]), np.concatenate([scores, found])
+            by_id = np.lexsort((-scores, ids))  # an id of several vectors keeps its best
+            by_id = by_id[np.diff(ids[by_id], prepend=ids[by_id[:1]] - 1) != 0]
+            ids, scores = ids[by_id], scores[by_id]
             best = np.lexsort((ids, -scores))[:k]
             ids, scores = ids[best], scores[best]
             if end == n or seen.all():

@@ -68,3 +68,13 @@ def test_a_search_stops_before_the_lists_end():
     finally:
         topk.np.unique = original
     assert sum(seen) < 100
+
+
+def test_an_id_of_many_high_vectors_takes_one_place(spark):
+    r = random.Random(2)
+    rows = [(i, [r.gauss(0, 1) for _ in range(4)]) for i in range(300)]
+    rows += [(7, [v * (3 + k / 10) for v in rows[100][1]]) for k in range(11)]
+    rows += [(8, [v * (2 + k / 10) for v in rows[200][1]]) for k in range(11)]
+    found = run(spark, rows)
+    assert found == brute(rows)
+    assert {q: sum(x[0] == q for x in found) for q in (0, 100, 200)} == {0: 10, 100: 10, 200: 10}
