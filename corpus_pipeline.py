@@ -34,8 +34,8 @@ def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of exact and near copies."""
-    return near_dups.keep_one(docs).select(*docs.columns)
+    """One document of each group of exact and near copies; different texts of one id are different documents."""
+    return near_dups.keep_one_text(docs).select(*docs.columns)
 
 
 def drop_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

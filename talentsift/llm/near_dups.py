@@ -347,8 +347,28 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     return rows.join(classes(docs, settings).withColumnRenamed("id", "node"), "node").select("doc_id", "class_id")
 
 
+def keep_one_text(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """One row of each group of copies, with all its columns: of the smallest id and, among its texts, that of the smallest hash.
+
+    Groups are linked by similarity of texts alone, so different texts of one
+    id stay apart and each keeps a row.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    members, found = links(docs.select(F.shiftrightunsigned(F.xxhash64(text), 1).alias("doc_id"), "text"), settings)
+    forget(members)
+    group = components(found).select(F.col("node").alias("_text"), "component")
+    keyed = _bodies(docs.select("doc_id", "text", F.struct(*docs.columns).alias("row")), "row", F.shiftrightunsigned(F.xxhash64(text), 1).alias("_text"))
+    first = keyed.groupBy("_text").agg(F.min(F.struct("node", "body")).alias("first"))
+    lowest = first.join(group, "_text", "left").groupBy(F.coalesce("component", "_text")).agg(F.min("first").alias("first"))
+    lowest = stored(lowest.select("first.*"), "kept")
+    return keyed.join(lowest, ["node", "body"], "left_semi").dropDuplicates(["node", "body"]).select("row.*")
+
+
 def keep_one(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One row of each class, with all its columns: of the smallest id and, among its texts, that of the smallest hash."""
+    """One row of each class, with all its columns: of the smallest id and, among its texts, that of the smallest hash.
+
+    Classes join the texts of an id; ``keep_one_text`` does not.
+    """
     keyed = _bodies(docs.select("doc_id", "text", F.struct(*docs.columns).alias("row")), "row")
     kept = classes(docs, settings).where("id = class_id").select(F.col("id").alias("node"))
     lowest = stored(keyed.groupBy("node").agg(F.min("body").alias("body")).join(kept, "node"), "kept")

@@ -4,6 +4,7 @@ import random
 import re
 from collections import defaultdict
 
+import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -126,3 +127,23 @@ def test_bytes_that_collide_in_an_earlier_band_do_not_hide_a_pair():
         return [p for out in near_dups._remaining(pa.Table.from_pylist(rows).to_batches(), settings) for p in out.to_pylist()]
 
     assert [pairs(band) for band in (3, 7)] == [[{"a": 11, "b": 12}], []]
+
+
+def test_different_texts_of_one_id_each_keep_a_row(make_docs):
+    r = random.Random(6)
+    base = [f"w{r.randrange(10**6)}" for _ in range(100)]
+    near = " ".join([*base[:98], "new", "end"])
+    rows = [(1, "one text of several words here"), (1, " ".join(base)), (2, near), (3, near), (3, "third text of other words again"), (4, "x y"), (4, "x y"), (5, "x y")]
+    rows += [(None, "a text without an id"), (None, "one text of several words here"), (6, None), (7, "")]
+    frame = make_docs(rows, "node", "body", "component", "first", "_text")
+    kept = near_dups.keep_one_text(frame)
+    assert kept.columns == frame.columns
+    found = sorted((r["doc_id"] or 0, (r["text"] or "")[:9]) for r in kept.collect())
+    assert found == [(0, "a text wi"), (0, "one text "), (1, " ".join(base)[:9]), (3, "third tex"), (4, "x y"), (6, "")]
+    assert near_dups.keep_one_text(make_docs([])).count() == 0
+
+
+def test_the_pipeline_keeps_different_texts_of_one_id(spark):
+    rows = [(1, "first text of several words"), (1, "second text of quite other words"), (2, "second text of quite other words")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(tuple(r) for r in corpus_pipeline.keep_one_copy(spark, docs, "").collect()) == rows[:2]
