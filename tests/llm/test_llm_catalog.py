@@ -67,3 +67,10 @@ def test_repeated_lines_of_small_large_and_hot_sources_go_and_single_lines_stay(
     for i, text, _ in rows:
         assert kept[i]["text"] == "\n".join(x for x in text.split("\n") if not x.startswith("notice"))
         assert kept[i]["n_chars"] == len(kept[i]["text"])
+
+
+def test_line_query_matches_sql_where_lines_go(spark):
+    folder, name = "/root/testdata/sf0.1", "op2_site_relative_lines"
+    found = catalog.QUERIES[name](spark, folder)
+    assert found.agg(F.sum("n_dropped")).first()[0] > 0
+    assert differences(found, connect(folder), catalog.ORACLES[name]) == []
