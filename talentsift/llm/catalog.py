@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talentsift.llm import chat, decontaminate, lines, near_dups, packing, quality, repeats, token_counts, topk, toxicity
+from talentsift.llm import (
+    centroids,
+    chat,
+    decontaminate,
+    lines,
+    near_dups,
+    packing,
+    quality,
+    repeats,
+    spelling,
+    token_counts,
+    topk,
+    toxicity,
+    transducer,
+)
 from talentsift.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -64,6 +78,24 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_streaming_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text and the text that they decode to, as digests; a null text is empty."""
+    encoded = transducer.encode(table(spark, sf_dir, "documents"), BYTE_BPE)
+    decoded = transducer.decode(encoded, BYTE_BPE)
+    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the texts with its commonest spelling one edit away; documents without words add nothing."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector that takes part with its centroid after five rounds; the others give no row."""
+    assigned, final = centroids.centroid_clusters(table(spark, sf_dir, "embeddings"))
+    return centroids.with_inertia(assigned, final)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_edit_aware_token_counts": op1_edit_aware_token_counts,
     "op2_site_relative_lines": op2_site_relative_lines,
@@ -75,8 +107,49 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_crf_toxicity": op8_crf_toxicity,
     "op9_block_max_wand": op9_block_max_wand,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op11_streaming_bpe": op11_streaming_bpe,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_centroid_clusters": op13_centroid_clusters,
 }
 
+
+def _centroid_sql(rounds: int) -> str:
+    """The clustering as one statement: each round assigns, adds up and floors."""
+    steps = [
+        """v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x, row_number() OVER () AS r
+            FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), c0 AS (
+            SELECT CAST(row_number() OVER (ORDER BY h, x) - 1 AS INTEGER) AS cluster, x AS c
+            FROM (SELECT sha256('2:' || CAST(vec_id AS VARCHAR)) AS h, x FROM v WHERE vec_id IS NOT NULL ORDER BY h, x LIMIT 40)
+        )"""
+    ]
+    for k in range(rounds + 1):
+        steps.append(
+            f"""a{k} AS (
+            SELECT r, any_value(vec_id) AS vec_id, any_value(x) AS x, min(struct_pack(d := d, cluster := cluster)) AS best FROM (
+                SELECT r, vec_id, x, cluster, CAST(list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d
+                FROM v, c{k}) GROUP BY r
+        )"""
+        )
+        if k < rounds:
+            steps.append(
+                f"""c{k + 1} AS (
+            SELECT c{k}.cluster, coalesce(m.c, c{k}.c) AS c FROM c{k} LEFT JOIN (
+                SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS c FROM (
+                    SELECT cluster, j, CAST(sum(e) AS BIGINT) AS s, count(*) AS n
+                    FROM (SELECT best.cluster AS cluster, unnest(x) AS e, generate_subscripts(x, 1) AS j FROM a{k}) GROUP BY cluster, j)
+                GROUP BY cluster) m ON m.cluster = c{k}.cluster
+        )"""
+            )
+    return f"""
+        WITH {", ".join(steps)}
+        SELECT vec_id, best.cluster AS cluster, best.d AS distance,
+            CAST(sum(best.d) OVER (PARTITION BY best.cluster) AS BIGINT) AS cluster_inertia, CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+            sha256(array_to_string(c, ',')) AS centroid_sha256
+        FROM a{rounds} JOIN c{rounds} ON c{rounds}.cluster = best.cluster
+    """
+
 ORACLES: dict[str, str] = {
     "op2_site_relative_lines": r"""
         WITH texts AS (
@@ -146,4 +219,5 @@ ORACLES: dict[str, str] = {
                 + length(regexp_replace(role || text, '[^\[\]<\\]', '', 'g')))) AS BIGINT) AS formatted_chars
         FROM placed GROUP BY conv_id
     """,
+    "op13_centroid_clusters": _centroid_sql(5),
 }

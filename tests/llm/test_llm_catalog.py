@@ -15,7 +15,7 @@ SMALL, FOLDER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = entry_point.queries()
-    assert sorted(int(m[1]) for m in (re.match(r"op(\d+)_", n) for n in names) if m) == list(range(1, 11))
+    assert sorted(int(m[1]) for m in (re.match(r"op(\d+)_", n) for n in names) if m) == list(range(1, 14))
     assert names["pipeline"] is corpus_pipeline.run
     assert set(catalog.ORACLES) <= set(entry_point.oracle_sql()) and "pipeline" not in entry_point.oracle_sql()
 
@@ -25,7 +25,7 @@ def test_query_matches_sql(spark, name):
     assert differences(catalog.QUERIES[name](spark, FOLDER), connect(FOLDER), catalog.ORACLES[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLES)))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLES) - {"op12_spelling_variants"}))
 def test_other_queries_return_a_row_for_each_document(spark, name):
     ids = {r["doc_id"] for r in catalog.QUERIES[name](spark, SMALL).select("doc_id").collect()}
     documents = {r["doc_id"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id").collect()}
