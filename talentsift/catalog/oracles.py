@@ -561,6 +561,104 @@ ORACLES: dict[str, str] = {
         FROM payloads WHERE outcome <> 'failed' GROUP BY external_id
         """,
     ),
+    "enrich_rounds": _with(
+        _PAYLOADS,
+        """
+        , placed AS (
+            SELECT raw_id, CASE WHEN ts < TIMESTAMP '2024-01-16' THEN '2024-01-16' ELSE '2024-01-31' END AS day FROM (SELECT event_id AS raw_id, ts FROM payloads)
+        ), figures AS (
+            SELECT f.*, p.video_count FROM fetched f LEFT JOIN profile p USING (raw_id)
+        ), firsts AS (
+            SELECT * FROM listed QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY ts, raw_id, pos) = 1
+        )
+        SELECT 'profile_snapshots' AS table_name, sha256('["profile","' || raw_id || '"]') AS id, sha256('["tiktok","' || external_id || '"]') AS creator, day,
+            concat_ws('|', raw_id, handle, coalesce(follower_count::VARCHAR, '-'), coalesce(lifetime_likes::VARCHAR, '-'), coalesce(video_count::VARCHAR, '-'),
+                is_verified, is_private, is_commerce_account, scrape_status) AS detail
+        FROM figures JOIN placed USING (raw_id)
+        UNION ALL
+        SELECT 'videos', video_id, sha256('["tiktok","' || external_id || '"]'), day, concat_ws('|', is_ad, coalesce(text_language, '-'), coalesce(web_video_url, '-'))
+        FROM firsts JOIN placed USING (raw_id)
+        UNION ALL
+        SELECT 'video_snapshots', sha256('["video","' || raw_id || '","' || pos || '"]'), NULL, day,
+            concat_ws('|', raw_id, video_id, coalesce(play_count::VARCHAR, '-'), digg_count, coalesce(comment_count::VARCHAR, '-'), coalesce(share_count::VARCHAR, '-'))
+        FROM listed JOIN placed USING (raw_id)
+        UNION ALL
+        SELECT 'parse_errors', CAST(raw_id AS VARCHAR), NULL, CAST(CAST(ts AS DATE) AS VARCHAR), error FROM quarantined
+        UNION ALL
+        SELECT 'parse_outcomes', CAST(event_id AS VARCHAR), NULL, NULL, concat_ws('|', outcome, coalesce(reason, '-')) FROM payloads
+        UNION ALL
+        SELECT DISTINCT 'creator_sightings', external_id, 'tiktok', day, CASE day WHEN '2024-01-16' THEN 'enrich-1' ELSE 'enrich-2' END
+        FROM payloads JOIN placed ON raw_id = event_id WHERE outcome <> 'failed'
+        """,
+    ),
+    "stored_status": _with(
+        _PAYLOADS,
+        """
+        SELECT CAST(p.event_id AS VARCHAR) AS raw_id, external_id, CASE WHEN p.ts < TIMESTAMP '2024-01-16' THEN q.error END AS error,
+               CASE WHEN p.ts >= TIMESTAMP '2024-01-16' THEN 'pending' WHEN outcome = 'failed' THEN 'failed' ELSE 'parsed' END AS parse_status
+        FROM payloads p LEFT JOIN quarantined q ON q.raw_id = p.event_id
+        """,
+    ),
+    "waiting_payloads": _with(
+        _PAYLOADS,
+        """
+        SELECT CAST(p.event_id AS VARCHAR) AS raw_id, CASE WHEN is_search THEN 'hashtag' ELSE 'profile' END AS source_type, external_id, outcome, error
+        FROM payloads p LEFT JOIN quarantined q ON q.raw_id = p.event_id WHERE p.ts >= TIMESTAMP '2024-01-16'
+        """,
+    ),
+    "kept_newest": _with(
+        _SNAPSHOTS,
+        """SELECT creator_id, nth AS position, snapshot_id, CAST(snapshot_date AS VARCHAR) AS snapshot_date,
+                  follower_count
+           FROM snapshots WHERE nth <= 2""",
+    ),
+    "queue_round": _with(
+        _SEARCH + "," + _DUE,
+        f"""
+        , busy AS (SELECT CAST(user_id AS VARCHAR) AS external_id FROM events GROUP BY user_id HAVING count(*) > 66),
+        incoming AS (
+            SELECT DISTINCT 'tiktok' AS platform, external_id, 'new_candidate' AS reason, 5 AS priority FROM found
+            UNION ALL
+            SELECT platform, external_id, 'scheduled_refresh', 1 FROM due
+            WHERE NOT (platform = 'tiktok' AND external_id IN (SELECT external_id FROM found))
+        ), stored AS (
+            SELECT *, sha256('["queue","' || platform || '","' || external_id || '","2024-01-31 00:00:00"]') AS id FROM incoming
+            WHERE NOT (platform = 'tiktok' AND external_id IN (SELECT external_id FROM busy))
+        )
+        SELECT 'queue' AS part, id, platform, external_id, reason,
+               CASE WHEN row_number() OVER (ORDER BY priority, id) <= 25 THEN 'in_progress' ELSE 'pending' END AS label,
+               CAST(priority AS INTEGER) AS priority, {_AS_OF_EVENTS} AS at
+        FROM stored
+        UNION ALL SELECT 'event', NULL, 'tiktok', external_id, 'tiktok_hashtag', query, NULL, {_AS_OF_EVENTS} FROM found
+        """,
+    ),
+    "score_rounds": _with(
+        _SIGNALS.replace("DATE '2001-08-01' - CAST(posted_at AS DATE) BETWEEN 0 AND 30) AS in_window",
+            "DATE '2001-08-01' - CAST(posted_at AS DATE) BETWEEN 0 AND 30) AS in_first, count(*) FILTER (WHERE DATE '2001-09-01' - CAST(posted_at AS DATE) BETWEEN 0 AND 30) AS in_second")
+        .replace("CASE WHEN dated > 0 THEN in_window / (CAST(30 AS DOUBLE) / 7) END AS posting_consistency",
+            "CASE WHEN dated > 0 THEN in_first / (CAST(30 AS DOUBLE) / 7) END AS first_rate, CASE WHEN dated > 0 THEN in_second / (CAST(30 AS DOUBLE) / 7) END AS second_rate")
+        + "," + _tiers("signals"),
+        """
+        SELECT sha256('["score","v1","' || creator_id || '","' || day || ' 00:00:00"]') AS score_id, CAST(creator_id AS VARCHAR) AS creator_id, 'v1' AS score_version,
+               day || ' 00:00:00.000000' AS computed_at, engagement_rate, growth_rate, CASE day WHEN '2001-08-01' THEN first_rate ELSE second_rate END AS posting_consistency,
+               account_type, tier, flags
+        FROM tiered, (VALUES ('2001-08-01'), ('2001-09-01')) runs(day)
+        """,
+    ),
+    "outreach_listing": _with(
+        _READY,
+        f"""SELECT creator_id, NULL AS tier, NULL AS pushed_at, 'pending' AS status FROM outreach
+            UNION ALL SELECT creator_id, min(tier), {_AS_OF_ORDERS}, 'pending' FROM ready GROUP BY creator_id""",
+    ),
+    "parse_new_shape": _with(
+        _PAYLOADS,
+        """
+        , ids AS (SELECT raw_id, string_agg(video_id, ',' ORDER BY video_id) AS video_ids FROM listed GROUP BY raw_id)
+        SELECT p.event_id AS raw_id, p.outcome, q.error, f.handle, f.follower_count,
+               CASE WHEN p.outcome = 'parsed' THEN coalesce(video_ids, '') END AS video_ids
+        FROM payloads p LEFT JOIN quarantined q ON q.raw_id = p.event_id LEFT JOIN profile f ON f.raw_id = p.event_id LEFT JOIN ids ON ids.raw_id = p.event_id
+        """,
+    ),
     "upsert_videos": _with(
         _PAYLOADS,
         f"""

@@ -8,6 +8,7 @@ alike.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from talentsift.operators.latest import (
     score_order,
     snapshot_order,
 )
-from talentsift.plans import discover, enrich, handoff, ingest, score
+from talentsift.plans import discover, enrich, handoff, ingest, rounds, score
 from talentsift.rules import HASHTAG_SOURCE, PENDING, Rules
 from talentsift.session import prepare, shared_folder
 from talentsift.sources.samples import (
@@ -35,6 +36,7 @@ from talentsift.sources.samples import (
     SEARCH_RULES,
     Samples,
 )
+from talentsift.sources.rounds import Table
 from talentsift.sources.tables import append_daily, read_table
 from talentsift.streaming import jobs
 
@@ -216,6 +218,36 @@ def parse_first_video(t: Samples) -> DataFrame:
     return parsing.first_videos(_parsed(t)).select("raw_id", "video_id", "is_ad", "digg_count")
 
 
+CLIP = parsing.Shape(
+    head=f"clip: struct<{parsing.AUTHOR_ID}>",
+    author=lambda head: head["clip"]["authorMeta"]["id"],
+    profile=lambda payload: V.read(payload, f"struct<clip: {parsing.PROFILE}>")["clip"],
+    videos=lambda payload: F.array(V.read(payload, f"struct<clip: {parsing.VIDEO}>")["clip"]),
+)
+
+
+@query
+def parse_new_shape(t: Samples) -> DataFrame:
+    """Payloads of a registered new shape, parsed beside those of the shapes that are built in."""
+    is_clip = F.col("source_type") == "hashtag"
+    raw = t.raw_payloads().withColumns(
+        {
+            "payload": F.when(is_clip, F.concat(F.lit('{"clip":'), "payload", F.lit("}"))).otherwise(F.col("payload")),
+            "source_type": F.when(is_clip, "clip").otherwise(F.col("source_type")),
+        }
+    )
+    shapes = {**parsing.SHAPES, "clip": CLIP}
+    opened = parsing.opened(parsing.parse_payloads(raw, shapes), shapes)
+    return opened.select(
+        "raw_id",
+        "outcome",
+        "error",
+        F.col("profile.handle").alias("handle"),
+        F.col("profile.follower_count").alias("follower_count"),
+        F.array_sort(F.transform("videos", lambda video: video["video_id"])).alias("video_ids"),
+    )
+
+
 _LOOSE = """struct<id: variant, isAd: variant, shareCount: variant, playCount: variant, collectCount: variant,
     authorMeta: struct<fans: variant, following: variant, video: variant, verified: variant,
                        privateAccount: variant, ttSeller: variant, commerceUserInfo: variant>>"""
@@ -348,6 +380,145 @@ def upsert_videos(t: Samples) -> DataFrame:
     return rows.select("video_id", "creator_id", "posted_at", "is_ad", "first_seen_at")
 
 
+# Rounds: tables that are published together
+
+
+def _moment(text: str) -> datetime:
+    return datetime.fromisoformat(text)
+
+
+SAMPLE_BUCKETS = 8  # the samples hold a few megabytes of payloads
+FIRST_RUN, SECOND_RUN = "2024-01-16 00:00:00", "2024-01-31 00:00:00"
+
+
+class Interrupted(Exception):
+    pass
+
+
+def _two_landings(t: Samples, purpose: str) -> rounds.RoundStore:
+    """A store whose first landing has been enriched and whose second one is pending."""
+    store, raw = rounds.open_store(t.spark, shared_folder(t.spark, purpose), buckets=SAMPLE_BUCKETS), t.raw_payloads()
+    rounds.land(store, "landing-1", raw.where(_earlier()), _moment("2024-01-15 00:00:00"))
+    rounds.enrich_round(store, "enrich-1", _moment(FIRST_RUN))
+    rounds.land(store, "landing-2", raw.where(~_earlier()), _moment("2024-01-30 00:00:00"))
+    return store
+
+
+@query
+def enrich_rounds(t: Samples) -> DataFrame:
+    """Every row of every table after two enrichment rounds, the second of which broke off once and ran again."""
+    store = _two_landings(t, "enrich-rounds")
+    try:
+        with store.round("enrich-2", _moment(SECOND_RUN)) as broken:
+            for name in ("profile_snapshots", "videos"):
+                broken.write(name, store.read(name))
+            raise Interrupted
+    except Interrupted:
+        rounds.enrich_round(store, "enrich-2", _moment(SECOND_RUN))
+
+    def rows(name: str, key: Column, creator: Column, day: Column, *details: str) -> DataFrame:
+        told = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in details])
+        return store.read(name).select(
+            F.lit(name).alias("table_name"),
+            key.cast("string").alias("id"),
+            creator.cast("string").alias("creator"),
+            F.to_date(day).alias("day"),
+            told.alias("detail"),
+        )
+
+    nobody = F.lit(None)
+    return (
+        rows("profile_snapshots", F.col("snapshot_id"), F.col("creator_id"), F.col("snapshot_date"), "raw_id", "handle", "follower_count", "lifetime_likes", "video_count", "is_verified", "is_private", "is_commerce_account", "scrape_status")
+        .unionByName(rows("videos", F.col("video_id"), F.col("creator_id"), F.col("first_seen_at"), "is_ad", "text_language", "web_video_url"))
+        .unionByName(rows("video_snapshots", F.col("snapshot_id"), nobody, F.col("snapshot_date"), "raw_id", "video_id", "play_count", "digg_count", "comment_count", "share_count"))
+        .unionByName(rows("parse_errors", F.col("raw_id"), nobody, F.col("occurred_at"), "error"))
+        .unionByName(rows("parse_outcomes", F.col("raw_id"), nobody, nobody, "outcome", "reason"))
+        .unionByName(rows("creator_sightings", F.col("external_id"), F.col("platform"), F.col("last_sighting"), "round"))
+    )
+
+
+@query
+def stored_status(t: Samples) -> DataFrame:
+    """Status of every landed payload from the stored outcomes, while the second landing waits."""
+    status = rounds.payload_status(_two_landings(t, "stored-status"))
+    return status.select("raw_id", "external_id", "error", "parse_status")
+
+
+@query
+def waiting_payloads(t: Samples) -> DataFrame:
+    """The payloads that the next round will parse, and what it will make of them."""
+    waiting = rounds.pending_payloads(_two_landings(t, "waiting-payloads"))
+    return parsing.parse_payloads(waiting).select("raw_id", "source_type", "external_id", "outcome", "error")
+
+
+NEWEST = {
+    "newest_snapshots": Table(
+        "snapshot_id bigint, creator_id bigint, snapshot_date date, created_at timestamp, follower_count bigint",
+        bucketed_by="creator_id",
+        buckets=8,
+    )
+}
+
+
+@query
+def kept_newest(t: Samples) -> DataFrame:
+    """The two newest snapshots of each creator, kept over rounds that bring the years in no order."""
+    store = rounds.open_store(t.spark, shared_folder(t.spark, "kept-newest"), NEWEST)
+    snapshots = t.profile_snapshots()
+    year = F.year("snapshot_date")
+    for turn, part in enumerate((year >= 2000, year < 1997, (year >= 1997) & (year < 2000))):
+        with store.round(f"round-{turn}", datetime(2001, 9, 1 + turn)) as this:
+            rounds.keep_newest(this, "newest_snapshots", snapshots.where(part), "creator_id", snapshot_order(), 2)
+    kept = rounds.kept_newest(store, "newest_snapshots")
+    ranked = latest_n(kept, ["creator_id"], snapshot_order(), 2, rank_as="position")
+    return ranked.select("creator_id", "position", "snapshot_id", "snapshot_date", "follower_count")
+
+
+@query
+def queue_round(t: Samples) -> DataFrame:
+    """Events and queue rows that a discovery round stored, and the state of the queue after its next batch was taken."""
+    store = rounds.open_store(t.spark, shared_folder(t.spark, "queue-round"))
+    found = discovery.discover(HASHTAG_SOURCE, t.search_items(), SEARCH_RULES)
+    rounds.discovery_round(store, "2024-01-31", found, _due(t), t.pending_users(), _moment(EVENTS_AS_OF), SEARCH_RULES)
+    queued = queue.mark_in_progress(store.read("ingestion_queue").drop("round"), SEARCH_RULES.fetch_batch)
+    events = store.read("discovery_events").select(
+        F.lit("event").alias("part"),
+        F.lit(None).cast("string").alias("id"),
+        "platform",
+        "external_id",
+        F.col("source").alias("reason"),
+        F.col("query").alias("label"),
+        F.lit(None).cast("int").alias("priority"),
+        F.col("discovered_at").alias("at"),
+    )
+    return events.unionByName(
+        queued.select(
+            F.lit("queue").alias("part"), F.col("queue_id").alias("id"), "platform", "external_id", "reason", F.col("status").alias("label"), "priority", F.col("enqueued_at").alias("at")
+        )
+    )
+
+
+@query
+def score_rounds(t: Samples) -> DataFrame:
+    """Scores of two rounds a month apart, the later beside the earlier, with their ids."""
+    store = rounds.open_store(t.spark, shared_folder(t.spark, "score-rounds"))
+    for moment in (ORDERS_AS_OF, "2001-09-01 00:00:00"):
+        rounds.score_round(
+            store, moment[:10], t.creators(), t.profile_snapshots(), t.videos(), t.video_snapshots(), _moment(moment), SAMPLE_RULES, t.video_snapshot_order()
+        )
+    return store.read("creator_scores").select(
+        "score_id", "creator_id", "score_version", "computed_at", "engagement_rate", "growth_rate", "posting_consistency", "account_type", "tier", "flags"
+    )
+
+
+@query
+def outreach_listing(t: Samples) -> DataFrame:
+    """The outreach queue as its operators list it, after a push."""
+    stored = t.outreach_queue()
+    pushed = handoff.outreach_push(t.creator_scores(), stored, _at(ORDERS_AS_OF), RULES)
+    return reports.outreach_listing(stored.unionByName(pushed, allowMissingColumns=True))
+
+
 # Latest rows and signals
 
 
@@ -584,14 +755,15 @@ def discovery_today(t: Samples) -> DataFrame:
 
 @query
 def run_totals(t: Samples) -> DataFrame:
-    """Candidates found, refreshes due and creators pushed in one round."""
-
-    def total(name: str, rows: DataFrame) -> DataFrame:
-        return rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("total"), "n")
-
+    """Candidates found, refreshes due and creators pushed: counted by the writes of the rounds that make them."""
+    store = rounds.open_store(t.spark, shared_folder(t.spark, "run-totals"))
     found = discovery.discover(HASHTAG_SOURCE, t.search_items(), SEARCH_RULES)
-    pushed = handoff.outreach_push(t.creator_scores(), t.outreach_queue(), _at(ORDERS_AS_OF), RULES)
-    return total("found", found).unionByName(total("due", _due(t))).unionByName(total("pushed", pushed))
+    rounds.discovery_round(store, "discovery", found, _due(t), t.pending_users(), _moment(EVENTS_AS_OF), SEARCH_RULES)
+    rounds.handoff_round(store, "handoff", t.creator_scores(), t.outreach_queue(), _moment(ORDERS_AS_OF), RULES)
+    names = {"candidates": "found", "refreshes_due": "due", "outreach_queue": "pushed"}
+    counted = store.totals("discovery").unionByName(store.totals("handoff")).where(F.col("table").isin(*names))
+    label = F.coalesce(*[F.when(F.col("table") == table, total) for table, total in names.items()])
+    return counted.select(label.alias("total"), "n")
 
 
 @query

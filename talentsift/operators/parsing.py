@@ -235,6 +235,46 @@ def first_videos(parsed: DataFrame, shapes: dict[str, Shape] = SHAPES) -> DataFr
     return lead.where(V.truthy(F.col("item.id"))).select("raw_id", *video_fields(F.col("item")))
 
 
+def opened(parsed: DataFrame, shapes: dict[str, Shape] = SHAPES) -> DataFrame:
+    """Everything that is read from a payload, in one row and without its text.
+
+    ``profile`` is null without a readable profile, ``videos`` lists the items
+    with an id and their places. All outputs of a batch are projections of
+    these rows, so writing them once saves reading payloads once for each.
+    """
+    readable, item = _profile_item(shapes)
+    listed = _by_shape(F.col("source_type"), {name: shape.videos(F.col("payload")) for name, shape in shapes.items()})
+    kept = [*_LANDING, "outcome", "error", "reason"]
+    looked_at = V.evaluate_once(
+        parsed, kept, item=F.when(readable, item), items=F.when(F.col("outcome") == PARSED, listed)
+    )
+    numbered = F.transform(
+        "items", lambda x, pos: F.struct(pos.alias("pos"), V.truthy(x["id"]).alias("named"), *video_fields(x))
+    )
+    return looked_at.select(
+        *kept,
+        F.when(F.col("item").isNotNull(), F.struct(*profile_figures(F.col("item")))).alias("profile"),
+        F.filter(numbered, lambda video: video["named"]).alias("videos"),
+    )
+
+
+def opened_fetches(rows: DataFrame) -> DataFrame:
+    """``fetches`` of opened payloads."""
+    missed = F.col("outcome") == FAILED_FETCH
+    told = rows.where(missed | F.col("profile").isNotNull())
+    figures = [field.name for field in rows.schema["profile"].dataType.fields]
+    flags = [name for name in figures if name.startswith("is_")]
+    return told.select(*_LANDING, missed.alias("missed"), "reason", "profile.*").withColumns(
+        {name: F.coalesce(name, F.lit(False)) for name in flags} | {"handle": F.coalesce("handle", F.lit(""))}
+    )
+
+
+def opened_videos(rows: DataFrame) -> DataFrame:
+    """``videos`` of opened payloads."""
+    listed = rows.where(F.col("outcome") == PARSED).select(*_LANDING, F.explode("videos").alias("video"))
+    return listed.select(*_LANDING, "video.*").drop("named")
+
+
 def errors(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("outcome") == FAILED).select(
         "raw_id", "error", F.col("fetched_at").alias("occurred_at")

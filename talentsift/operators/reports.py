@@ -37,6 +37,11 @@ def discovery_today(events: DataFrame, as_of: Column) -> DataFrame:
     return count_by(events.where(F.col("discovered_at") >= as_of), "source")
 
 
+def outreach_listing(outreach: DataFrame) -> DataFrame:
+    """Every outreach row, the latest push first."""
+    return outreach.select("creator_id", "tier", "pushed_at", "status").orderBy(F.desc_nulls_last("pushed_at"), "creator_id")
+
+
 def operator_report(
     events: DataFrame, queue: DataFrame, raw: DataFrame, scores: DataFrame, outreach: DataFrame
 ) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from talentsift.functions.keys import digest
 from talentsift.functions.tiering import refresh_interval
 from talentsift.operators import dedup
 from talentsift.operators.discovery import queue_candidates
@@ -61,3 +62,22 @@ def enqueue_round(candidates: DataFrame, due: DataFrame, queue: DataFrame, rules
     order = [F.asc("turn"), F.asc_nulls_last("query"), F.asc_nulls_last("pos")]
     incoming = arrivals.unionByName(refreshes, allowMissingColumns=True)
     return dedup.enqueue(incoming, queue, order).drop("turn", "query", "pos")
+
+
+def queue_rows(incoming: DataFrame, as_of: Column) -> DataFrame:
+    """Rows of ``enqueue_round`` as the queue table stores them: with an id, a time, and no attempt yet.
+
+    The id comes from the creator and the run, so a rerun makes the same rows.
+    """
+    return incoming.select(
+        digest(F.lit("queue"), F.col("platform"), F.col("external_id"), as_of).alias("queue_id"),
+        "platform",
+        "external_id",
+        "handle",
+        "reason",
+        F.col("priority").cast("int").alias("priority"),
+        "status",
+        F.lit(None).cast("string").alias("error"),
+        as_of.alias("enqueued_at"),
+        F.lit(0).alias("attempts"),
+    )

@@ -42,8 +42,13 @@ def profile_snapshots(parsed: DataFrame, as_of: Column) -> DataFrame:
     The creator is the one the fetch was made for, whatever id the payload
     names. A failed fetch keeps the external id as handle and no figures.
     """
+    return snapshot_rows(parsing.fetches(parsed), as_of)
+
+
+def snapshot_rows(fetches: DataFrame, as_of: Column) -> DataFrame:
+    """``profile_snapshots`` of fetches whose fields have been read."""
     handle = F.when(F.col("missed"), F.col("external_id")).otherwise(F.col("handle"))
-    return parsing.fetches(parsed).select(
+    return fetches.select(
         digest(F.lit("profile"), F.col("raw_id")).alias("snapshot_id"),
         creator_key(F.col("platform"), F.col("external_id")).alias("creator_id"),
         as_of.cast("date").alias("snapshot_date"),
@@ -105,6 +110,18 @@ def sightings(parsed: DataFrame, as_of: Column) -> DataFrame:
     return parsing.handled(parsed).select("platform", "external_id", as_of.alias("seen_at"))
 
 
+def enrich_opened(opened: DataFrame, existing_videos: DataFrame, as_of: Column) -> Enrichment:
+    """All outputs of one batch, from rows that ``parsing.opened`` has written."""
+    listed = parsing.opened_videos(opened)
+    return Enrichment(
+        profile_snapshots=snapshot_rows(parsing.opened_fetches(opened), as_of),
+        videos=new_videos(listed, existing_videos, as_of),
+        video_snapshots=video_snapshots(listed, as_of),
+        parse_errors=parsing.errors(opened),
+        sightings=sightings(opened, as_of),
+    )
+
+
 def enrich(
     parsed: DataFrame, existing_videos: DataFrame, as_of: Column, listed: DataFrame | None = None
 ) -> Enrichment:
