@@ -561,6 +561,13 @@ ORACLES: dict[str, str] = {
         FROM payloads WHERE outcome <> 'failed' GROUP BY external_id
         """,
     ),
+    "landed_items": _with(
+        _SEARCH,
+        """
+        SELECT 'candidate' AS part, query, external_id, handle AS detail FROM found
+        UNION ALL SELECT 'corrupt', event_type, NULL, '{"broken ' || event_id FROM ev WHERE event_id % 50 = 0
+        """,
+    ),
     "enrich_rounds": _with(
         _PAYLOADS,
         """
@@ -851,22 +858,28 @@ ORACLES: dict[str, str] = {
     "stream_parse": _with(
         _PAYLOADS,
         """
-        , written AS (
-            SELECT 'profile_snapshots' AS written_to, scrape_status AS label FROM fetched
-            UNION ALL
-            SELECT 'videos', CAST(is_ad AS VARCHAR) FROM (
-                SELECT is_ad FROM listed
-                QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY ts, raw_id, pos) = 1)
-            UNION ALL SELECT 'video_snapshots', video_id FROM listed
-            UNION ALL SELECT 'parse_errors', error FROM quarantined
-        )
-        SELECT written_to, label, count(*) AS n FROM written GROUP BY written_to, label
+        SELECT 'profile_snapshots' AS written_to, CAST(raw_id AS VARCHAR) AS id, concat_ws('|', sha256('["tiktok","' || external_id || '"]'), handle,
+            coalesce(follower_count::VARCHAR, '-'), coalesce(lifetime_likes::VARCHAR, '-'), scrape_status) AS detail
+        FROM fetched
+        UNION ALL
+        SELECT 'videos', video_id, concat_ws('|', sha256('["tiktok","' || external_id || '"]'), is_ad) FROM (
+            SELECT * FROM listed QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY ts, raw_id, pos) = 1)
+        UNION ALL
+        SELECT 'video_snapshots', video_id, concat_ws('|', raw_id, coalesce(play_count::VARCHAR, '-'), digg_count, coalesce(comment_count::VARCHAR, '-'),
+            coalesce(share_count::VARCHAR, '-')) FROM listed
+        UNION ALL SELECT 'parse_errors', CAST(raw_id AS VARCHAR), error FROM quarantined
+        UNION ALL
+        SELECT 'creators', external_id, concat_ws('|', 'active', strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f'), strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f'))
+        FROM payloads WHERE outcome <> 'failed' GROUP BY external_id
         """,
     ),
     "stream_dedup": _with(
         _SEARCH,
         """
-        SELECT 'tiktok' AS platform, external_id, handle, 'pending' AS status FROM found
+        , busy AS (SELECT CAST(user_id AS VARCHAR) AS external_id FROM events GROUP BY user_id HAVING count(*) > 66)
+        SELECT sha256('["queue","tiktok","' || external_id || '","2024-01-31 00:00:00"]') AS queue_id, 'tiktok' AS platform, external_id, handle,
+               'new_candidate' AS reason, 5 AS priority, 'pending' AS status, '2024-01-31 00:00:00.000000' AS enqueued_at
+        FROM found WHERE external_id NOT IN (SELECT external_id FROM busy)
         QUALIFY row_number() OVER (PARTITION BY external_id ORDER BY query, pos) = 1
         """,
     ),

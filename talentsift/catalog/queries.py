@@ -28,6 +28,8 @@ from talentsift.operators.latest import (
 from talentsift.plans import discover, enrich, handoff, ingest, rounds, score
 from talentsift.rules import HASHTAG_SOURCE, PENDING, Rules
 from talentsift.session import prepare, shared_folder
+from talentsift.sources import landed
+from talentsift.sources.rounds import Table
 from talentsift.sources.samples import (
     BIO_RULES,
     EVENTS_AS_OF,
@@ -36,7 +38,6 @@ from talentsift.sources.samples import (
     SEARCH_RULES,
     Samples,
 )
-from talentsift.sources.rounds import Table
 from talentsift.sources.tables import append_daily, read_table
 from talentsift.streaming import jobs
 
@@ -83,6 +84,27 @@ def discover_candidates(t: Samples) -> DataFrame:
     return discovery.discover(HASHTAG_SOURCE, t.search_items(), SEARCH_RULES).drop("pos")
 
 
+def land_items(t: Samples, purpose: str) -> str:
+    """The search items as JSON lines in a folder for each query, with a broken line beside every fiftieth."""
+    folder = shared_folder(t.spark, purpose)
+    numbered = F.concat(F.lit('{"pos":'), F.col("pos"), F.lit(","), F.expr("substring(item, 2)"))
+    broken = F.when(F.col("pos") % 50 == 0, F.concat(F.lit('{"broken '), F.col("pos")))
+    lines = t.search_items().select("query", F.explode(F.array_compact(F.array(numbered, broken))).alias("value"))
+    lines.write.partitionBy("query").text(folder)
+    return folder
+
+
+@query
+def landed_items(t: Samples) -> DataFrame:
+    """Candidates of items that were landed as JSON files, and the lines that were set aside."""
+    items = landed.read_items(t.spark, land_items(t, "landed-items"))
+    found = discovery.discover(HASHTAG_SOURCE, landed.search_items(items, V.integer(V.node(F.col("document"), "pos"))), SEARCH_RULES)
+    aside = landed.corrupt(items, _at(EVENTS_AS_OF))
+    return found.select(F.lit("candidate").alias("part"), "query", "external_id", F.col("handle").alias("detail")).unionByName(
+        aside.select(F.lit("corrupt").alias("part"), "query", F.lit(None).cast("string").alias("external_id"), F.col("line").alias("detail"))
+    )
+
+
 @query
 def first_occurrence(t: Samples) -> DataFrame:
     return discovery.first_occurrences(t.search_items())
@@ -809,25 +831,28 @@ def stream_parse(t: Samples) -> DataFrame:
     raw = t.raw_payloads(jobs.open_stream(t.spark, t.folder, "events"))
     jobs.parse_landed(raw, folder, F.col("fetched_at"))
 
-    def stored(name: str, label: str) -> DataFrame:
-        return t.spark.read.parquet(f"{folder}/{name}").select(
-            F.lit(name).alias("written_to"), F.col(label).cast("string").alias("label")
-        )
+    def rows(name: str, key: str, *details: str) -> DataFrame:
+        told = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in details])
+        table = t.spark.read.parquet(f"{folder}/{name}")
+        return table.select(F.lit(name).alias("written_to"), F.col(key).cast("string").alias("id"), told.alias("detail"))
 
-    written = (
-        stored("profile_snapshots", "scrape_status")
-        .unionByName(stored("videos", "is_ad"))
-        .unionByName(stored("video_snapshots", "video_id"))
-        .unionByName(stored("parse_errors", "error"))
+    creators = jobs.stored_creators(t.spark, folder)
+    seen = [F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in ("first_discovered_at", "last_seen_at")]
+    return (
+        rows("profile_snapshots", "raw_id", "creator_id", "handle", "follower_count", "lifetime_likes", "scrape_status")
+        .unionByName(rows("videos", "video_id", "creator_id", "is_ad"))
+        .unionByName(rows("video_snapshots", "video_id", "raw_id", "play_count", "digg_count", "comment_count", "share_count"))
+        .unionByName(rows("parse_errors", "raw_id", "error"))
+        .unionByName(creators.select(F.lit("creators").alias("written_to"), F.col("external_id").alias("id"), F.concat_ws("|", "status", *seen).alias("detail")))
     )
-    return reports.count_by(written, "written_to", "label")
 
 
 @query
 def stream_dedup(t: Samples) -> DataFrame:
     items = t.search_items(jobs.open_stream(t.spark, t.folder, "events"))
-    queued = jobs.enqueue_sightings(items, shared_folder(t.spark, "stream-dedup"), SEARCH_RULES)
-    return queued.select("platform", "external_id", "handle", "status")
+    folder = shared_folder(t.spark, "stream-dedup")
+    queued = jobs.enqueue_sightings(items, folder, SEARCH_RULES, t.pending_users(), _at(EVENTS_AS_OF))
+    return queued.select("queue_id", "platform", "external_id", "handle", "reason", "priority", "status", "enqueued_at")
 
 
 @query

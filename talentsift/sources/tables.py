@@ -22,9 +22,16 @@ def append_daily(rows: DataFrame, path: str, date_column: str, round_id: str) ->
     spread.write.mode("overwrite").partitionBy(date_column).parquet(f"{path}/round={round_id}")
 
 
-def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Write one micro-batch under its own directory; a rerun replaces what it wrote before."""
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def write_batch(rows: DataFrame, path: str, batch_id: int, by: str | None = None) -> None:
+    """Write one micro-batch under its own directory, split ``by`` a column; a rerun replaces what it wrote before."""
+    writer = rows.write.mode("overwrite")
+    (writer.partitionBy(by) if by else writer).parquet(f"{path}/batch_id={batch_id}")
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder, if it is there, wherever the session's file systems keep it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -12,18 +12,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talentsift import schemas
 from talentsift.functions import signals as S
 from talentsift.operators import dedup, parsing
-from talentsift.operators.discovery import first_occurrences, qualified
+from talentsift.operators.discovery import first_occurrences, qualified, queue_candidates
 from talentsift.operators.latest import latest_n, latest_with_previous, snapshot_order
 from talentsift.operators.monitor import with_silent_windows
-from talentsift.plans.enrich import enrich
+from talentsift.plans.discover import queue_rows
+from talentsift.plans.enrich import enrich_opened
 from talentsift.rules import Rules
+from talentsift.sources.folded import FoldedIds
 from talentsift.sources.tables import read_batches, write_batch
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -54,34 +55,33 @@ def drain(stream: DataFrame, folder: str, write: BatchWriter, mode: str = "appen
     query.awaitTermination()
 
 
-def _earlier(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
-    """What batches before this one wrote; empty for the first."""
-    if batch_id == 0:
-        return spark.createDataFrame([], schema)
-    return read_batches(spark, path, schema).where(F.col("batch_id") < batch_id).drop("batch_id")
-
-
 _SEEN = "platform string, external_id string, first_sighting timestamp, last_sighting timestamp"
 
 
 def parse_landed(raw: DataFrame, folder: str, as_of: Column) -> None:
-    """Payload stream to snapshots, new videos, quarantine and creator sightings; ``stored_creators`` folds the last."""
+    """Payload stream to snapshots, new videos, quarantine and creator sightings; ``stored_creators`` folds the last.
+
+    A batch reads its payloads once: parsed, failed and soft-failed rows leave
+    in one write, split by outcome and without the text, and the tables follow
+    from those rows. Ids of earlier videos are looked up where the batch's own
+    ids can be.
+    """
+    spark = raw.sparkSession
+    ids = FoldedIds(spark, f"{folder}/video_ids", "video_id")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        parsed = parsing.parse_payloads(batch).persist(StorageLevel.MEMORY_AND_DISK)
-        listed = parsing.videos(parsed).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            known = _earlier(spark, f"{folder}/videos", batch_id, schemas.VIDEOS).select("video_id")
-            rows = enrich(parsed, known, as_of, listed)
-            write_batch(rows.profile_snapshots, f"{folder}/profile_snapshots", batch_id)
-            write_batch(rows.videos, f"{folder}/videos", batch_id)
-            write_batch(rows.video_snapshots, f"{folder}/video_snapshots", batch_id)
-            write_batch(rows.parse_errors, f"{folder}/parse_errors", batch_id)
-            write_batch(dedup.sighting_range(rows.sightings), f"{folder}/creator_sightings", batch_id)
-        finally:
-            listed.unpersist()
-            parsed.unpersist()
+        ids.begin(batch_id)
+        read = parsing.opened(parsing.parse_payloads(batch))
+        write_batch(read, f"{folder}/opened_payloads", batch_id, by="outcome")
+        schema = ", ".join(f"{name} {kind}" for name, kind in read.dtypes)
+        opened = read_batches(spark, f"{folder}/opened_payloads", schema).where(F.col("batch_id") == batch_id).drop("batch_id")
+        rows = enrich_opened(opened, ids.known(batch_id, parsing.opened_videos(opened)), as_of)
+        write_batch(rows.profile_snapshots, f"{folder}/profile_snapshots", batch_id)
+        write_batch(rows.videos, f"{folder}/videos", batch_id)
+        write_batch(rows.video_snapshots, f"{folder}/video_snapshots", batch_id)
+        write_batch(rows.parse_errors, f"{folder}/parse_errors", batch_id)
+        write_batch(dedup.sighting_range(rows.sightings), f"{folder}/creator_sightings", batch_id)
+        ids.add(batch_id, read_batches(spark, f"{folder}/videos", schemas.VIDEOS).where(F.col("batch_id") == batch_id))
 
     drain(raw, folder, write)
 
@@ -95,12 +95,15 @@ def stored_creators(spark: SparkSession, folder: str) -> DataFrame:
 _FIRSTS = "query string, pos bigint, external_id string, handle string, follower_count bigint"
 
 
-def enqueue_sightings(items: DataFrame, folder: str, rules: Rules) -> DataFrame:
+def enqueue_sightings(
+    items: DataFrame, folder: str, rules: Rules, queue: DataFrame | None = None, as_of: Column | None = None
+) -> DataFrame:
     """Author stream to pending queue rows, equal to the batch result in whatever order items arrive.
 
     A batch keeps the first item of each author and query. Reading takes the
     first of these over all batches, then the follower floor, then the first
-    query of each creator.
+    query of each creator. Creators with a pending row in ``queue`` get none;
+    with ``as_of`` the rows are as the queue table stores them.
     """
     spark, path = items.sparkSession, f"{folder}/first_sightings"
 
@@ -110,9 +113,10 @@ def enqueue_sightings(items: DataFrame, folder: str, rules: Rules) -> DataFrame:
 
     drain(items.select("query", "pos", "item"), folder, write)
     firsts = dedup.first_per_key(read_batches(spark, path, _FIRSTS), ["query", "external_id"], [F.asc("pos")])
-    nobody = spark.createDataFrame([], "platform string, external_id string, status string")
-    candidates = qualified(firsts, rules)
-    return dedup.enqueue(candidates.drop("source"), nobody, [F.asc("query"), F.asc("pos")]).drop("query", "pos")
+    standing = spark.createDataFrame([], "platform string, external_id string, status string") if queue is None else queue
+    incoming = queue_candidates(qualified(firsts, rules), rules)
+    fresh = dedup.enqueue(incoming, standing, [F.asc("query"), F.asc("pos")]).drop("query", "pos")
+    return fresh if as_of is None else queue_rows(fresh, as_of)
 
 
 _WINDOWS = "window_start timestamp, n bigint"

@@ -12,7 +12,9 @@ from talentsift.functions import failures
 from talentsift.operators import dedup, discovery, queue, reports
 from talentsift.plans import discover, ingest
 from talentsift.rules import HASHTAG_SOURCE, Rules
-from talentsift.sources.tables import append_daily, read_table
+from talentsift.sources import landed
+from talentsift.sources.tables import append_daily, read_table, write_batch
+from talentsift.streaming import jobs
 from tests.conftest import rows
 
 RULES = Rules()
@@ -183,3 +185,24 @@ def test_appending_a_round_again_replaces_it(spark, tmp_path):
     for round_id in ("r1", "r1", "r2"):
         append_daily(frame, str(tmp_path / "t"), "d", round_id)
     assert sorted(r.x for r in read_table(spark, str(tmp_path / "t")).collect()) == [1, 1, 2, 2]
+
+
+def test_landed_files_with_broken_lines_read_alike_in_batch_and_stream(spark, tmp_path):
+    folder, lines = tmp_path / "landed", ['{"authorMeta.id":1,"authorMeta.fans":9}', '{"broken', "", "[1]", "null", '{"authorMeta":{"id":"2","fans":"7"}}', '"text"']
+    for name, part in (("cats", lines[:4]), ("dogs & co", lines[4:])):
+        (folder / f"query={name}").mkdir(parents=True)
+        for k, line in enumerate(part):
+            (folder / f"query={name}" / f"{k}.json").write_text(line + "\n")
+    items = landed.read_items(spark, str(folder))
+    assert sorted((r["query"], r["value"]) for r in items.where("valid").collect()) == [("cats", lines[0]), ("dogs & co", lines[5])]
+    aside = landed.corrupt(items, F.lit("2024-01-01").cast("timestamp"))
+    assert sorted(r["line"] for r in aside.collect()) == sorted([lines[1], lines[2], lines[3], lines[4], lines[6]])
+    assert all(r["file"].endswith(".json") for r in aside.collect())
+    out = str(tmp_path / "streamed")
+    stream = landed.stream_items(spark, str(folder), 2).select("query", "value", "valid")
+    jobs.drain(stream, str(tmp_path), lambda batch, batch_id: write_batch(batch, out, batch_id))
+    streamed = spark.read.parquet(out)
+    assert streamed.select("batch_id").distinct().count() > 1
+    assert rows(streamed.drop("batch_id")) == rows(items.select("query", "value", "valid"))
+    found = discovery.discover(HASHTAG_SOURCE, landed.search_items(items, F.lit(0)), Rules(min_followers=8))
+    assert [r["external_id"] for r in found.collect()] == ["1"]

@@ -6,15 +6,17 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from talentsift import schemas
 from talentsift.operators import dedup, parsing
-from talentsift.operators.discovery import discover
+from talentsift.operators.discovery import discover, queue_candidates
 from talentsift.operators.latest import snapshot_order
 from talentsift.plans import enrich
 from talentsift.plans.score import current_and_previous, snapshot_signals
 from talentsift.rules import HASHTAG_SOURCE, Rules
 from talentsift.sources.samples import SAMPLE_RULES, SEARCH_RULES, Samples
+from talentsift.sources import folded
 from talentsift.streaming import jobs
-from tests.conftest import rows
+from tests.conftest import plan_of, rows
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -111,10 +113,22 @@ def test_queue_stream_newest_first_equals_batch(spark, newest_first, tmp_path):
     queued = jobs.enqueue_sightings(samples.search_items(newest_first("events", "event_id")), str(tmp_path / "q"), SEARCH_RULES)
     found = discover(HASHTAG_SOURCE, samples.search_items(), SEARCH_RULES)
     nobody = spark.createDataFrame([], "platform string, external_id string, status string")
-    expected = dedup.enqueue(found, nobody, [F.asc("query"), F.asc("pos")]).select(*queued.columns)
+    expected = dedup.enqueue(queue_candidates(found, SEARCH_RULES), nobody, [F.asc("query"), F.asc("pos")]).select(*queued.columns)
     assert queued.count() > 0 and rows(queued) == rows(expected)
 
 
+def test_queue_stream_leaves_out_creators_that_are_pending(spark, newest_first, tmp_path):
+    samples = Samples(spark, FOLDER)
+    found = discover(HASHTAG_SOURCE, samples.search_items(), SEARCH_RULES)
+    some = found.select("platform", "external_id").distinct().orderBy("external_id").limit(5)
+    standing = some.withColumn("status", F.lit("pending")).unionByName(found.select("platform", "external_id").withColumn("status", F.lit("done")))
+    stream = samples.search_items(newest_first("events", "event_id"))
+    queued = jobs.enqueue_sightings(stream, str(tmp_path / "q"), SEARCH_RULES, standing, F.lit(datetime(2024, 2, 1)).cast("timestamp"))
+    assert queued.columns == spark.createDataFrame([], schemas.INGESTION_QUEUE).columns
+    expected = found.select("external_id").distinct().join(some, "external_id", "left_anti")
+    assert rows(queued.select("external_id")) == rows(expected)
+
+
 def test_arrival_stream_newest_first_equals_batch_windows(spark, newest_first, tmp_path):
     stream = newest_first("events", "ts").select(F.col("ts").cast("timestamp").alias("at"))
     counted = jobs.arrival_counts(stream, str(tmp_path / "a"), "at", "2 hours", "15 minutes")
@@ -140,3 +154,54 @@ def test_growth_stream_equals_batch(spark, sliced, tmp_path):
     pair = current_and_previous(samples.profile_snapshots(), snapshot_order())
     expected = snapshot_signals(pair, SAMPLE_RULES).select("creator_id", "growth")
     assert rows(updates.select("creator_id", "growth_rate")) == rows(expected)
+
+
+@pytest.mark.parametrize(("fan", "prefixes"), [(2, 3), (4, 4)])
+def test_ids_of_many_small_batches_lie_in_few_files(spark, tmp_path, fan, prefixes):
+    store = folded.FoldedIds(spark, str(tmp_path / "ids"), "video_id", fan, prefixes)
+    levels = 1
+    for batch_id in range(50):
+        while fan**levels <= batch_id:
+            levels += 1
+        ids = spark.range(batch_id * 3, batch_id * 3 + 3).select(F.col("id").cast("string").alias("video_id")).coalesce(1)
+        store.begin(batch_id)
+        if batch_id in (5, 16, 33):  # this batch ran before and was lost
+            store.add(batch_id, ids.limit(1))
+            store.begin(batch_id)
+        known = store._read(folded.pieces_before(batch_id, fan))
+        assert len(known.inputFiles()) <= (fan - 1) * levels * prefixes
+        if batch_id % 10 == 0:
+            assert rows(known.select("video_id")) == sorted((str(i),) for i in range(batch_id * 3))
+        store.add(batch_id, ids)
+    store.begin(50)
+    wanted = spark.createDataFrame([("7",), ("149",), ("150",)], "video_id string")
+    known = store.known(50, wanted)
+    found = {r["video_id"] for r in known.collect()}
+    assert {"7", "149"} <= found and "150" not in found and len(found) < 150
+    assert "PartitionFilters: [" in plan_of(known) and "prefix#" in plan_of(known).split("PartitionFilters: [")[1]
+    on_disk = {tuple(int(x.split("=")[1]) for x in p.relative_to(tmp_path / "ids").parts) for p in (tmp_path / "ids").glob("first=*/batches=*")}
+    parts = {p for piece in folded.pieces_made(50, fan) for p in folded.parts_of(piece, fan)}
+    assert on_disk == set(folded.pieces_before(50, fan)) | parts
+
+
+def test_pieces_hold_every_batch_once():
+    for fan in (2, 3, 8):
+        for batch_id in range(200):
+            covered = [b for first, size in folded.pieces_before(batch_id, fan) for b in range(first, first + size)]
+            assert covered == list(range(batch_id))
+
+
+def test_payloads_are_read_in_one_job_a_batch(spark, sliced, tmp_path, monkeypatch):
+    writes = []
+    real = jobs.write_batch
+
+    def noted(frame, path, batch_id, by=None):
+        writes.append((path.rsplit("/", 1)[1], "payload#" in frame._jdf.queryExecution().optimizedPlan().toString()))
+        real(frame, path, batch_id, by)
+
+    monkeypatch.setattr(jobs, "write_batch", noted)
+    jobs.parse_landed(Samples(spark, FOLDER).raw_payloads(sliced("events", "event_id")), str(tmp_path / "out"), F.col("fetched_at"))
+    assert {name for name, reads in writes if reads} == {"opened_payloads"}
+    assert len(writes) == 6 * len([w for w in writes if w[1]])
+    branches = {p.name for p in (tmp_path / "out" / "opened_payloads").glob("batch_id=0/outcome=*")}
+    assert branches == {"outcome=parsed", "outcome=failed", "outcome=failed_fetch"}
