@@ -25,6 +25,7 @@ from talentsift.llm.labelled import held_out, training_sample
 
 SCORES = "doc_id bigint, score double, n_tokens bigint, spans array<struct<start:bigint,end:bigint>>"
 TRAINING_ROWS = 4000
+CHAINS_A_ROUND = 40_000  # chains without a toxic token take turns in shares of about this size
 THRESHOLD = 0.7
 STEMS = (4, 5, 6, 7, 8)
 SMALL = 1e-12
@@ -216,26 +217,26 @@ def train(samples: list[tuple[str, int]], *, rounds: int = 40, least_df: int = 5
     lengths = tuple(n for n, row in zip(STEMS, stem_rows, strict=True) if row.any())
     t.stems = t.stems[stem_rows.any(axis=1)]
     truth = (np.isin(t.word, told) | stem_rows.any(axis=0)) & (labels[t.text] == 1) if len(t.word) else np.zeros(0, bool)
-    # Chains with a toxic token, and as many others as a fixed stride takes, teach the field.
+    # Chains with a toxic token teach in every round; the others take turns, so that all of them teach and a round stays small.
     chains = np.bincount(t.chain, weights=truth) > 0 if len(t.chain) else np.zeros(0, bool)
-    stride = max(1, len(chains) // 40_000)
-    use = (chains | (np.arange(len(chains)) % stride == 0))[t.chain] if len(chains) else np.zeros(0, bool)
-    t_used = t.where(use)
-    y = truth[use].astype(np.float64)
+    shares = max(1, len(chains) // CHAINS_A_ROUND)
     vocabulary, df = np.unique(np.concatenate([np.unique(t.word[a:b]) for a, b in spans]) if spans else np.empty(0, np.uint64), return_counts=True)
     vocabulary = vocabulary[df >= least_df]
     n = len(vocabulary) + 1
     zeros = {"here": np.zeros(n), "before": np.zeros(n), "after": np.zeros(n), "stem": np.zeros(len(told) + 1), "length": np.zeros(16)}
     model = SpanModel(vocabulary, told, lengths, **zeros, bias=-4.0, pair=np.zeros((2, 2)), document=np.array([-4.0, 0.0, 0.0, 0.0]))
-    if not y.any():
+    if not truth.any():
         return model
-    parts = model.features(t_used)
-    step = {k: np.zeros_like(getattr(model, k)) for k in parts} | {"bias": 0.0, "pair": np.zeros((2, 2))}
+    step = {k: np.zeros_like(v) for k, v in zeros.items()} | {"bias": 0.0, "pair": np.zeros((2, 2))}
     square = {k: np.zeros_like(v) for k, v in step.items()}
-    linked = np.flatnonzero(t_used.chain[1:] == t_used.chain[:-1])
-    seen = np.zeros((2, 2))
-    np.add.at(seen, (y[linked].astype(int), y[linked + 1].astype(int)), 1)
-    for turn in range(1, rounds + 1):
+    for turn in range(1, max(rounds, shares) + 1):
+        if shares > 1 or turn == 1:
+            use = (chains | (np.arange(len(chains)) % shares == turn % shares))[t.chain]
+            t_used, y = t.where(use), truth[use].astype(np.float64)
+            parts = model.features(t_used)
+            linked = np.flatnonzero(t_used.chain[1:] == t_used.chain[:-1])
+            seen = np.zeros((2, 2))
+            np.add.at(seen, (y[linked].astype(int), y[linked + 1].astype(int)), 1)
         odds, pair = model.odds(parts), np.exp(model.pair)
         forward, backward = _ratios(odds, t_used.chain, pair)
         both = np.clip(forward * backward, 1e-30, 1e30)
