@@ -27,10 +27,12 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that over ``SOURCE_RATIO`` of their source's texts and ``SOURCE_DOCUMENTS`` of them hold."""
-    rows = docs.select(*docs.columns, F.col("source").alias("_site"))
-    kept = lines.drop_boilerplate(rows, host="_site", ratio=SOURCE_RATIO, min_pages=SOURCE_DOCUMENTS, copies_count=False)
-    changed = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return kept.withColumn("n_chars", changed).select(*docs.columns)
+    others = [c for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*others).alias("document"), F.col("source").alias("site"), "text")
+    kept = lines.drop_boilerplate(rows, host="site", ratio=SOURCE_RATIO, min_pages=SOURCE_DOCUMENTS, copies_count=False)
+    columns = {c: F.col("document").getField(c) for c in others} | {"text": F.col("text")}
+    columns["n_chars"] = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(columns["n_chars"])
+    return kept.select(*[columns[c].alias(c) for c in docs.columns])
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
