@@ -561,6 +561,14 @@ ORACLES: dict[str, str] = {
         FROM payloads WHERE outcome <> 'failed' GROUP BY external_id
         """,
     ),
+    "discover_own_source": _with(
+        _SEARCH,
+        """
+        SELECT external_id, handle, query, pos FROM (
+            SELECT * FROM seen QUALIFY row_number() OVER (PARTITION BY external_id ORDER BY query, pos) = 1
+        ) WHERE starts_with(handle, 'user_1')
+        """,
+    ),
     "landed_items": _with(
         _SEARCH,
         """
@@ -757,6 +765,23 @@ ORACLES: dict[str, str] = {
         + _tiers("judged"),
         "SELECT tier, flags, count(*) AS creators FROM tiered GROUP BY tier, flags",
     ),
+    "assign_tier_own_rules": _with(
+        _FIGURES
+        + """,
+    judged AS (
+        SELECT creator_id, follower_count, lifetime_rate AS engagement_rate, growth AS growth_rate, account AS account_type,
+               scrape_status,
+               coalesce(lifetime_rate > CAST(0.25 AS DOUBLE), FALSE) OR coalesce(growth > 1, FALSE)
+                   AS suspicious_growth
+        FROM figures
+    ),"""
+        + _tiers("judged")
+        .replace("CAST(0.06 AS", "CAST(0.12 AS")
+        .replace("CAST(0.03 AS", "CAST(0.07 AS")
+        .replace("CAST(0.01 AS", "CAST(0.04 AS")
+        .replace("IN ('brand', 'reseller')", "IN ('brand')"),
+        "SELECT creator_id, tier, flags FROM tiered",
+    ),
     "creator_signals": _with(
         _SIGNALS,
         """SELECT creator_id, follower_count, engagement_rate, growth_rate, account_type, scrape_status,

@@ -8,6 +8,7 @@ alike.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -110,6 +111,19 @@ def first_occurrence(t: Samples) -> DataFrame:
     return discovery.first_occurrences(t.search_items())
 
 
+@discovery.discovery_source("watched_handles")
+def watched_handles(items: DataFrame, rules: Rules) -> DataFrame:
+    """A source of its own: each author once over all queries, if the handle starts with a watched text."""
+    firsts = dedup.first_per_key(discovery.author_sightings(items), ["external_id"], [F.asc("query"), F.asc("pos")])
+    return firsts.where(F.startswith("handle", F.lit("user_1"))).select("external_id", "handle", "query", "pos")
+
+
+@query
+def discover_own_source(t: Samples) -> DataFrame:
+    """Candidates of a registered source beside the built-in one."""
+    return discovery.discover("watched_handles", t.search_items(), SEARCH_RULES)
+
+
 @query
 def discovery_events(t: Samples) -> DataFrame:
     found = discovery.discover(HASHTAG_SOURCE, t.search_items(), SEARCH_RULES)
@@ -675,6 +689,24 @@ def assign_tier(t: Samples) -> DataFrame:
     )
 
 
+STRICT_RULES = replace(SAMPLE_RULES, engagement_a=0.12, engagement_b=0.07, engagement_c=0.04, excluded_accounts=("brand",))
+
+
+@query
+def assign_tier_own_rules(t: Samples) -> DataFrame:
+    """``assign_tier`` of single creators under changed thresholds and exclusions."""
+    signals = _figures(t).select(
+        "creator_id",
+        "follower_count",
+        F.col("lifetime_rate").alias("engagement_rate"),
+        F.col("growth").alias("growth_rate"),
+        F.col("account").alias("account_type"),
+        "scrape_status",
+        S.suspicious(F.col("growth"), F.col("lifetime_rate"), STRICT_RULES).alias("suspicious_growth"),
+    )
+    return score.with_tier(signals, STRICT_RULES).select("creator_id", "tier", "flags")
+
+
 @query
 def creator_signals(t: Samples) -> DataFrame:
     return score.creator_signals(

@@ -11,7 +11,7 @@ from talentsift.operators import dedup
 from talentsift.operators.discovery import queue_candidates
 from talentsift.operators.latest import latest, score_order, snapshot_order
 from talentsift.operators.reports import active_creators
-from talentsift.rules import SCHEDULED_REFRESH, Rules
+from talentsift.rules import SCHEDULED_REFRESH, SUCCESS, Rules
 
 
 def discovery_events(candidates: DataFrame, as_of: Column) -> DataFrame:
@@ -20,17 +20,23 @@ def discovery_events(candidates: DataFrame, as_of: Column) -> DataFrame:
 
 
 def due_for_refresh(
-    creators: DataFrame, scores: DataFrame, snapshots: DataFrame, as_of: Column, rules: Rules
+    creators: DataFrame, scores: DataFrame, snapshots: DataFrame, as_of: Column, rules: Rules, last_success_handle: bool = False
 ) -> DataFrame:
     """Active creators whose last snapshot is at least their tier's interval old, or missing.
 
     The tier is that of the latest score of any version; without a snapshot
-    the external id stands in for the handle.
+    the external id stands in for the handle. A failed fetch leaves the
+    external id as handle; with ``last_success_handle`` the handle is that of
+    the latest fetch that succeeded.
     """
     tiers = latest(scores, ["creator_id"], score_order()).select("creator_id", "tier")
     seen = latest(snapshots, ["creator_id"], snapshot_order()).select(
         "creator_id", "snapshot_date", F.col("handle").alias("last_handle")
     )
+    if last_success_handle:
+        succeeded = latest(snapshots.where(F.col("scrape_status") == SUCCESS), ["creator_id"], snapshot_order())
+        known = succeeded.select("creator_id", F.col("handle").alias("known_handle"))
+        seen = seen.join(known, "creator_id", "left").withColumn("last_handle", F.coalesce("known_handle", "last_handle"))
     age = F.datediff(F.to_date(as_of), "snapshot_date")
     due = F.col("snapshot_date").isNull() | (age >= refresh_interval(F.col("tier"), rules))
     return (

@@ -180,6 +180,16 @@ def test_refresh_of_unseen_creators_uses_the_external_id(spark):
     assert rows(frame) == [("tiktok", "1", "1")]
 
 
+def test_refresh_can_use_the_handle_of_the_last_success(spark):
+    failed, good = snapshot(2, 1, date(2026, 1, 20), status="fetch_failed"), snapshot(1, 1, date(2026, 1, 5))
+    snaps = spark.createDataFrame([failed, good], FULL).withColumn("handle", F.when(F.col("scrape_status") == "fetch_failed", "1").otherwise(F.lit("name")))
+    scores = spark.createDataFrame([], SCORES)
+    who = creators(spark, 1).unionByName(creators(spark, 2))
+    as_of = F.lit("2026-01-31").cast("timestamp")
+    assert rows(discover.due_for_refresh(who, scores, snaps, as_of, RULES)) == [("tiktok", "1", "1"), ("tiktok", "2", "2")]
+    assert rows(discover.due_for_refresh(who, scores, snaps, as_of, RULES, last_success_handle=True)) == [("tiktok", "1", "name"), ("tiktok", "2", "2")]
+
+
 def test_outreach_takes_latest_ab_scores_once(spark):
     later = DAY + timedelta(days=1)
     scores = spark.createDataFrame(
