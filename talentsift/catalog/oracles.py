@@ -931,3 +931,4 @@ ORACLES: dict[str, str] = {
         """,
     ),
 }
+ORACLES["stream_changed_growth"] = ORACLES["stream_growth"]

@@ -40,7 +40,7 @@ from talentsift.sources.samples import (
     Samples,
 )
 from talentsift.sources.tables import append_daily, read_table
-from talentsift.streaming import jobs
+from talentsift.streaming import jobs, keyed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -894,13 +894,23 @@ def stream_arrivals(t: Samples) -> DataFrame:
     return jobs.arrival_counts(rows, folder, "fetched_at", "2 hours", "15 minutes")
 
 
-@query
-def stream_growth(t: Samples) -> DataFrame:
-    rows = jobs.open_stream(t.spark, t.folder, "orders").select(
+def _snapshot_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return jobs.open_stream(spark, folder, "orders").select(
         F.col("o_orderkey").alias("snapshot_id"),
         F.col("o_custkey").alias("creator_id"),
         F.to_date("o_orderdate").alias("snapshot_date"),
         F.col("o_orderdate").cast("timestamp").alias("created_at"),
         F.floor(F.col("o_totalprice") / 10).alias("follower_count"),
     )
-    return jobs.growth_updates(rows, shared_folder(t.spark, "stream-growth"), SAMPLE_RULES)
+
+
+@query
+def stream_growth(t: Samples) -> DataFrame:
+    return jobs.growth_updates(_snapshot_stream(t.spark, t.folder), shared_folder(t.spark, "stream-growth"), SAMPLE_RULES)
+
+
+@query
+def stream_changed_growth(t: Samples) -> DataFrame:
+    folder = shared_folder(t.spark, "stream-changed-growth")
+    keyed.changed_growth(_snapshot_stream(keyed.keyed_session(t.spark), t.folder), folder, SAMPLE_RULES)
+    return keyed.current_growth(t.spark, folder)
