@@ -932,3 +932,4 @@ ORACLES: dict[str, str] = {
     ),
 }
 ORACLES["stream_changed_growth"] = ORACLES["stream_growth"]
+ORACLES["refresh_due_by_day"] = ORACLES["refresh_due"]

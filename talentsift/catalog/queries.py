@@ -26,11 +26,11 @@ from talentsift.operators.latest import (
     score_order,
     snapshot_order,
 )
-from talentsift.plans import discover, enrich, handoff, ingest, rounds, score
+from talentsift.plans import calendar, discover, enrich, handoff, ingest, rounds, score
 from talentsift.rules import HASHTAG_SOURCE, PENDING, Rules
 from talentsift.session import prepare, shared_folder
 from talentsift.sources import landed
-from talentsift.sources.rounds import Table
+from talentsift.sources.rounds import RoundStore, Table
 from talentsift.sources.samples import (
     BIO_RULES,
     EVENTS_AS_OF,
@@ -141,6 +141,24 @@ def refresh_due(t: Samples) -> DataFrame:
     return _due(t)
 
 
+@query
+def refresh_due_by_day(t: Samples) -> DataFrame:
+    """Due creators from the calendar that two rounds have kept, the second of them twelve days earlier."""
+    store = RoundStore(t.spark, shared_folder(t.spark, "refresh-calendar"), calendar.tables("bigint", SAMPLE_BUCKETS))
+    creators, snapshots, scores = t.creators(), t.profile_snapshots(), t.creator_scores()
+    for moment, part in (("2001-06-01 00:00:00", "{0} < '2000-01-01'"), ("2001-07-20 00:00:00", "{0} >= '2000-01-01'")):
+        calendar.calendar_round(
+            store,
+            moment[:10],
+            _moment(moment),
+            creators if moment < "2001-07" else creators.limit(0),
+            snapshots.where(part.format("snapshot_date")),
+            scores.where(part.format("computed_at")),
+            SAMPLE_RULES,
+        )
+    return calendar.due_by_calendar(store, _moment(ORDERS_AS_OF))
+
+
 @query
 def enqueue_idempotent(t: Samples) -> DataFrame:
     found = discovery.discover(HASHTAG_SOURCE, t.search_items(), SEARCH_RULES)
