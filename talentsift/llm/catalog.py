@@ -30,7 +30,7 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 def op1_edit_aware_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     trees = token_counts.build_trees(table(spark, sf_dir, "documents"), BYTE_BPE)
-    return token_counts.apply_edits(token_counts.redactions(trees), BYTE_BPE).drop("text")
+    return token_counts.apply_edits(token_counts.redactions(trees), BYTE_BPE).drop("text", "leaf_chars", "leaf_tokens")
 
 
 def op2_site_relative_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,11 @@ counts of segments add up to the count of the document. The counts and
 lengths are the leaves of a segment tree per document. An edit descends to
 the segments it touches, together with the characters next to it; these are
 cut and encoded again, and the sums above them are updated. Nothing else of
-the document is read by the encoder.
+the document is read by the encoder. The leaves come back with the counts, so
+stored results take the next edits without another encoding.
+
+Special strings of a vocabulary count as the plain text they are spelled in,
+unlike in packing, which reads them as one id.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from pyspark.sql import functions as F
 from talentsift.llm.common import ByteBpe, byte_bpe
 
 TREES = "doc_id bigint, text string, leaf_chars array<int>, leaf_tokens array<int>"
-COUNTS = "doc_id bigint, text string, n_tokens_before bigint, n_tokens bigint, n_edits bigint, n_chars bigint, n_reencoded_chars bigint"
+COUNTS = "doc_id bigint, text string, n_tokens_before bigint, n_tokens bigint, n_edits bigint, n_chars bigint, n_reencoded_chars bigint, leaf_chars array<int>, leaf_tokens array<int>"
 SEGMENT_CHARS = 192
 _CUT = re.compile(r"(?<=[^\s])[ \n]")
 
@@ -57,6 +61,12 @@ class CountTree:
             self.sums[at // 2 : at] = self.sums[at : 2 * at : 2] + self.sums[at + 1 : 2 * at : 2]
             at //= 2
 
+    def leaf_sums(self) -> tuple[list[int], list[int]]:
+        """Characters and tokens of the segments, without those that edits have emptied."""
+        sums = self.sums[self.width : self.width + len(self.leaves)]
+        chars, tokens = sums[sums[:, 0] > 0].T.tolist()
+        return chars, tokens
+
     @property
     def chars(self) -> int:
         return int(self.sums[1, 0])
@@ -153,11 +163,11 @@ def apply_edits(trees: DataFrame, tokenizer: str, *, size: int = SEGMENT_CHARS)
                     known = [e for e in edits or [] if e is not None]
                     for e in known:
                         tree.edit(e["start"] or 0, e["length"] or 0, e["text"] or "", encoder, size)
-                    out.append((doc, "".join(tree.leaves), tree.before, tree.tokens, len(known), tree.chars, tree.reencoded))
-                kinds = (pa.int64(), pa.string(), *(pa.int64(),) * 5)
+                    out.append((doc, "".join(tree.leaves), tree.before, tree.tokens, len(known), tree.chars, tree.reencoded, *tree.leaf_sums()))
+                kinds = (pa.int64(), pa.string(), *(pa.int64(),) * 5, *(pa.list_(pa.int32()),) * 2)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(v, k) for v, k in zip(zip(*out, strict=True), kinds, strict=True)],
-                    names=["doc_id", "text", "n_tokens_before", "n_tokens", "n_edits", "n_chars", "n_reencoded_chars"],
+                    names=["doc_id", "text", "n_tokens_before", "n_tokens", "n_edits", "n_chars", "n_reencoded_chars", "leaf_chars", "leaf_tokens"],
                 )
 
     return trees.select("doc_id", "text", "leaf_chars", "leaf_tokens", "edits").mapInArrow(apply, COUNTS)

@@ -55,3 +55,25 @@ def test_redactions_replace_what_the_pattern_finds(spark, make_docs):
     assert row["text"].startswith("Write to [hidden] or [hidden], then [hidden]") and row["n_edits"] == 3
     assert row["n_tokens"] == len(byte_bpe(PATH, False).ids(row["text"]))
     assert apply_edits(redactions(build_trees(make_docs([]), PATH)), PATH).count() == 0
+
+
+def test_stored_trees_take_further_edits(spark, make_docs):
+    """Two batches of edits give the counts of one full encoding, and the second reads little of the text."""
+    encoder = byte_bpe(PATH, False)
+    texts = [(1, "some words, 12 of them " * 400), (2, ""), (3, None), (4, "x" * 3000), (5, "a <|endoftext|> b")]
+    first = "array(named_struct('start', 700, 'length', 9, 'text', 'new words'), named_struct('start', 0, 'length', 2, 'text', ''))"
+    second = "array(named_struct('start', 705, 'length', 300, 'text', ' '), named_struct('start', 3, 'length', 0, 'text', 'more text '))"
+    trees = build_trees(make_docs(texts), PATH)
+    once = apply_edits(trees.selectExpr("*", f"{first} AS edits"), PATH)
+    twice = {row["doc_id"]: row for row in apply_edits(once.selectExpr("*", f"{second} AS edits"), PATH).collect()}
+    for doc, text in texts:
+        text = text or ""
+        for at, n, new in ((700, 9, "new words"), (0, 2, ""), (705, 300, " "), (3, 0, "more text ")):
+            at = min(at, len(text))
+            text = text[:at] + new + text[at + n :]
+        row = twice[doc]
+        assert (row["text"], row["n_tokens"], row["n_chars"]) == (text, len(encoder.ids(text)), len(text))
+        assert (sum(row["leaf_chars"]), sum(row["leaf_tokens"])) == (row["n_chars"], row["n_tokens"])
+    before = {row["doc_id"]: row["n_tokens"] for row in once.collect()}
+    assert {doc: row["n_tokens_before"] for doc, row in twice.items()} == before
+    assert twice[1]["n_reencoded_chars"] < 2000
