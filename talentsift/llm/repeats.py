@@ -1,32 +1,39 @@
-"""Removal of long repeated byte strings with a logarithmic family of suffix indexes.
+"""Removal of long repeated byte strings with a logarithmic family of suffix arrays.
 
-Of all suffixes an index keeps those that start at an anchor: in every window
+Of all suffixes an array keeps those that start at an anchor: in every window
 of ``length`` bytes the place of the smallest hash of ``prefix`` bytes. Equal
 windows choose the same place, so two occurrences of a long string always
 have anchors at equal distance into it, and about one position in eighty is
 kept. Starts that share an anchor form a run, and a run stands for all the
-windows that begin in it.
-
-A new batch gets its array of anchored suffixes, ordered by hashed prefix so
-that equal prefixes are neighbours, and is merge-scanned against the array of
-every level; levels of equal weight then merge, so a suffix is merged at most
-as often as the logarithm of the number of batches. Suffixes whose prefix
-occurs again are compared in full: first whole runs, then, where runs
-differ, blocks of eight windows, and only where blocks agree in what their
-windows share but not in all, each window. Every comparison is a grouping by
-hash that combines before its shuffle, so a passage in a third of all
-documents costs what its occurrences cost. Equality is decided by two 64-bit
-hashes, of the prefix and of the longer string.
+windows that begin in it. The text of a suffix goes from its anchor as far as
+a window of its run does, so it never needs more than ``length`` bytes.
+
+A new batch gets a suffix array: its different texts in byte order, ranges
+over the executors and sorted within them, with their numbers of occurrences.
+It is merged with the arrays of all levels into one order, where the longest
+match of a suffix lies right before or after it. A window whose part behind the
+anchor is longer than this match occurs nowhere else. Levels of equal weight
+merge when the next batch comes, so a suffix is merged at most as often as the
+logarithm of the number of batches.
+
+A match behind the anchor leaves open whether the bytes before it agree as
+well, with the same partner. This is settled among the few suffixes that are
+left: first whole runs, then, where runs differ, blocks of eight windows, and
+only where blocks agree in what their windows share but not in all, each
+window. Every such comparison is a grouping by hash that combines before its
+shuffle, so a passage in a third of all documents costs what its occurrences
+cost. Equality is decided by two 64-bit hashes, of the prefix and of the
+longer string.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talentsift.llm.common import forget, prefix_hash, span_hash, stored
@@ -34,7 +41,8 @@ from talentsift.llm.common import forget, prefix_hash, span_hash, stored
 LENGTH = 200
 PREFIX = 40
 SLICE = 1 << 20
-POSTINGS = "doc bigint, body bigint, key bigint, run bigint, start int, n int, lead int"
+POSTINGS = "doc bigint, body bigint, key bigint, tail bigint, run bigint, start int, n int, lead int, text binary"
+MATCHES = "tail bigint, reach int, edge binary"
 STARTS = 8
 BLOCKS = "doc bigint, body bigint, key bigint, block int, core bigint, left bigint, right bigint, first int, n int, start int"
 CUTS = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"
@@ -50,7 +58,7 @@ def _named(docs: DataFrame) -> DataFrame:
 
 
 def anchored_runs(data: np.ndarray, ends: np.ndarray, length: int, prefix: int) -> tuple[np.ndarray, ...]:
-    """Runs of window starts in joined documents: first start, number of starts, distance to the anchor, prefix hash and hash of the run's bytes.
+    """Runs of window starts in joined documents: first start, number of starts, distance to the anchor, and hashes of the prefix, of the suffix's text and of the run's bytes.
 
     ``ends`` has the end of each document in ``data``; no window crosses one.
     """
@@ -70,13 +78,27 @@ def anchored_runs(data: np.ndarray, ends: np.ndarray, length: int, prefix: int)
     valid = starts + length <= ends[np.searchsorted(ends, starts, side="right")]
     starts, anchors = starts[valid], anchors[valid]
     if not len(starts):
-        return (np.empty(0, np.int64),) * 5
+        return (np.empty(0, np.int64),) * 6
     new = np.ones(len(starts), bool)
     new[1:] = (anchors[1:] != anchors[:-1]) | (starts[1:] != starts[:-1] + 1)
     first = np.flatnonzero(new)
     n = np.diff(np.append(first, len(starts)))
-    begin = starts[first]
-    return begin, n, anchors[first] - begin, hashes[anchors[first]].view(np.int64), span_hash(sums, begin, begin + n - 1 + length).view(np.int64)
+    begin, anchor = starts[first], anchors[first]
+    end = begin + n - 1 + length
+    tail, run = span_hash(sums, anchor, end), span_hash(sums, begin, end)
+    return begin, n, anchor - begin, hashes[anchor].view(np.int64), tail.view(np.int64), run.view(np.int64)
+
+
+def _texts(rows: np.ndarray) -> pa.Array:
+    """Binary values from rows of equal width."""
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * np.int32(rows.shape[1])
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(rows))])
+
+
+def _rows(texts: pa.Array, width: int) -> np.ndarray:
+    """The bytes of binary values of one width, a row each."""
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    return np.frombuffer(texts.buffers()[2], np.uint8)[ends[0] : ends[-1]].reshape(-1, width)
 
 
 def _slices(bodies: list[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
@@ -97,7 +119,7 @@ def _slices(bodies: list[bytes], length: int) -> Iterator[list[tuple[int, int, b
 
 
 def suffixes(docs: DataFrame, *, length: int = LENGTH, prefix: int = PREFIX) -> DataFrame:
-    """The anchored suffixes of every whole text as runs of window starts."""
+    """The anchored suffixes of every whole text as runs of window starts; ``text`` is filled up with zero bytes to ``length``."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,39 +127,112 @@ def suffixes(docs: DataFrame, *, length: int = LENGTH, prefix: int = PREFIX) ->
             for group in _slices(bodies, length):
                 data = np.frombuffer(b"".join(part for _, _, part in group), np.uint8)
                 ends = np.cumsum([len(part) for _, _, part in group])
-                begin, n, lead, key, run = anchored_runs(data, ends, length, prefix)
+                begin, n, lead, key, tail, run = anchored_runs(data, ends, length, prefix)
+                if not len(begin):
+                    continue
                 which = np.searchsorted(ends, begin, side="right")
                 rows = np.array([k for k, _, _ in group])[which]
                 shift = np.array([at for _, at, _ in group]) - np.concatenate([[0], ends[:-1]])
                 start = (begin + shift[which]).astype(np.int32)
+                place = (begin + lead)[:, None] + np.arange(length)
+                text = np.where(place < (begin + n - 1 + length)[:, None], data[np.minimum(place, len(data) - 1)], np.uint8(0))
+                columns = names[0][rows], names[1][rows], key, tail, run, start, n.astype(np.int32), lead.astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in (names[0][rows], names[1][rows], key, run, start, n.astype(np.int32), lead.astype(np.int32))],
-                    names=["doc", "body", "key", "run", "start", "n", "lead"],
+                    [*(pa.array(c) for c in columns), _texts(text)],
+                    names=["doc", "body", "key", "tail", "run", "start", "n", "lead", "text"],
                 )
 
     return _named(docs).mapInArrow(scan, POSTINGS)
 
 
+def _neighbours(prefix: int, length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Over the sorted suffixes of a part: the longest match of each with the one before or after it, from ``prefix`` bytes on.
+
+    The first and the last of a part come with their text, since their
+    neighbours in other parts are not known here.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text, tail, reach = np.empty((0, length), np.uint8), np.empty(0, np.int64), np.empty(0, np.int32)
+
+        def rows(keep: np.ndarray, edges: list[bytes | None]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(tail[keep]), pa.array(reach[keep]), pa.array(edges, pa.binary())], names=["tail", "reach", "edge"]
+            )
+
+        opened = False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            text = np.concatenate([text, _rows(batch.column(0), length)])
+            tail = np.concatenate([tail, np.asarray(batch.column(1))])
+            reach = np.concatenate([reach, np.where(np.asarray(batch.column(2)) > 1, length, 0).astype(np.int32)])
+            same = text[1:] == text[:-1]
+            common = np.where(same.all(axis=1), length, same.argmin(axis=1)).astype(np.int32)
+            np.maximum(reach[1:], common, out=reach[1:])
+            np.maximum(reach[:-1], common, out=reach[:-1])
+            if not opened:
+                opened = True
+                yield rows(np.array([0]), [text[0].tobytes()])
+            done = np.flatnonzero(reach[:-1] >= prefix)
+            yield rows(done, [None] * len(done))
+            text, tail, reach = text[-1:], tail[-1:], reach[-1:]
+        if opened:
+            yield rows(np.array([0]), [text[0].tobytes()])
+
+    return scan
+
+
 class IndexFamily:
-    """Levels of ordered prefixes with their numbers of occurrences; the weight of a level is its number of batches."""
+    """Suffix arrays whose sizes grow geometrically: ``levels`` holds weights (numbers of batches) and tables.
+
+    A level has ``text, tail, n`` in the order of ``text``: a suffix, its hash
+    and its number of occurrences. The tables lie below
+    ``spark.checkpoint.dir``; ``folders`` names them and ``opened`` goes on
+    from there, also in another session.
+    """
 
-    def __init__(self) -> None:
+    def __init__(self, *, length: int = LENGTH, prefix: int = PREFIX) -> None:
+        self.length, self.prefix = length, prefix
         self.levels: list[tuple[int, DataFrame]] = []
 
-    def add(self, postings: DataFrame) -> DataFrame:
-        """Index a batch; returns the prefixes that it has twice or shares with an earlier batch."""
-        fresh = stored(postings.groupBy("key").agg(F.count("*").alias("n")).sortWithinPartitions("key"), "suffixes")
-        met = [fresh.where("n > 1").select("key")]
-        met += [fresh.select("key").join(level.select("key"), "key") for _, level in self.levels]
-        shared = stored(reduce(DataFrame.unionByName, met), "shared")
-        self.levels.append((1, fresh))
+    def folders(self) -> list[tuple[int, str]]:
+        return [(weight, level.inputFiles()[0].rsplit("/", 1)[0]) for weight, level in self.levels]
+
+    @classmethod
+    def opened(cls, spark: SparkSession, folders: list[tuple[int, str]], *, length: int = LENGTH, prefix: int = PREFIX) -> IndexFamily:
+        family = cls(length=length, prefix=prefix)
+        family.levels = [(weight, spark.read.parquet(folder)) for weight, folder in folders]
+        return family
+
+    def add(self, suffixes: DataFrame) -> DataFrame:
+        """Index the ``text, tail`` of a batch; ``tail, reach`` of all suffixes, old and new, that its arrival shows to match.
+
+        ``reach`` counts the bytes that the suffix shares with the closest
+        other one, never too few. A batch without suffixes adds no level.
+        """
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (weight, a), (_, b) = self.levels.pop(), self.levels.pop()
-            merged = a.unionByName(b).groupBy("key").agg(F.sum("n").alias("n")).sortWithinPartitions("key")
-            self.levels.append((2 * weight, stored(merged, "suffixes")))
+            self.levels.append((2 * weight, self._array(a.unionByName(b))))
             forget(a)
             forget(b)
-        return shared
+        # Equal texts become one row before the order is made, so a frequent text is no heavy range.
+        counted = suffixes.groupBy("text", "tail").agg(F.count("*").alias("n"))
+        fresh = self._array(counted)
+        if fresh.isEmpty():
+            return fresh.select("tail", F.lit(0).alias("reach"))
+        arrays = [fresh, *(level for _, level in self.levels)]
+        self.levels.append((1, fresh))
+        ordered = reduce(DataFrame.unionByName, arrays).repartitionByRange("text").sortWithinPartitions("text")
+        matches = stored(ordered.mapInArrow(_neighbours(self.prefix, self.length), MATCHES), "matches")
+        # Two rows a part, so one task has the neighbours across all borders.
+        edges = matches.where("edge is not null").select(F.col("edge").alias("text"), "tail", F.lit(1).alias("n")).dropDuplicates(["text"])
+        across = edges.repartition(1).sortWithinPartitions("text").mapInArrow(_neighbours(self.prefix, self.length), MATCHES)
+        return matches.unionByName(across).where(F.col("reach") >= self.prefix).select("tail", "reach")
+
+    def _array(self, rows: DataFrame) -> DataFrame:
+        merged = rows.repartitionByRange("text").groupBy("text", "tail").agg(F.sum("n").alias("n"))
+        return stored(merged.sortWithinPartitions("text"), "suffixes")
 
 
 def _blocks(docs: DataFrame, work: DataFrame, length: int) -> DataFrame:
@@ -222,15 +317,22 @@ def _equal_windows(blocks: DataFrame) -> list[DataFrame]:
 
 def find_repeats(docs: DataFrame, *, length: int = LENGTH, prefix: int = PREFIX, batches: int = 4) -> DataFrame:
     """``doc, body, start, n``: runs of starts whose windows of ``length`` bytes start anywhere else as well."""
-    postings = stored(suffixes(docs, length=length, prefix=prefix), "postings")
-    family = IndexFamily()
-    batch = F.pmod(F.xxhash64("doc", "body"), F.lit(batches))
-    parts = [family.add(postings.where(batch == k)) for k in range(batches)]
-    shared = stored(reduce(DataFrame.unionByName, parts).distinct(), "shared")
-    for done in (*parts, *(level for _, level in family.levels)):
+    family = IndexFamily(length=length, prefix=prefix)
+    batch = F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches))
+    postings, matches = [], []
+    for k in range(batches):
+        found = stored(suffixes(docs.where(batch == k), length=length, prefix=prefix), "suffixes")
+        postings.append(stored(found.drop("text"), "postings"))
+        matches.append(family.add(found.select("text", "tail")))
+        forget(found)
+    reach = stored(reduce(DataFrame.unionByName, matches).groupBy("tail").agg(F.max("reach").alias("reach")), "reach")
+    for done in (*matches, *(level for _, level in family.levels)):
+        forget(done)
+    # Windows need the match to go on to their end: what lies behind the anchor is ``length`` less the distance to it.
+    again = reduce(DataFrame.unionByName, postings).join(reach, "tail").withColumn("n", F.least("n", F.expr(f"lead + reach - {length} + 1")))
+    again = stored(again.where("n > 0").drop("tail", "reach"), "again")
+    for done in (reach, *postings):
         forget(done)
-    again = stored(postings.join(shared, "key"), "again")
-    forget(postings)
 
     runs = again.groupBy("key", "run").agg(F.count("*").alias("times"), F.min(F.struct("doc", "body", "start", "n", "lead")).alias("one"))
     runs = stored(runs.select("key", "run", "times", "one.*"), "runs")
