@@ -6,15 +6,16 @@ windows choose the same place, so two occurrences of a long string always
 have anchors at equal distance into it, and about one position in eighty is
 kept. Starts that share an anchor form a run, and a run stands for all the
 windows that begin in it. The text of a suffix goes from its anchor as far as
-a window of its run does, so it never needs more than ``length`` bytes.
+a window of its run does, and suffixes are ordered by its first ``depth`` bytes.
 
-A new batch gets a suffix array: its different texts in byte order, ranges
-over the executors and sorted within them, with their numbers of occurrences.
-It is merged with the arrays of all levels into one order, where the longest
-match of a suffix lies right before or after it. A window whose part behind the
-anchor is longer than this match occurs nowhere else. Levels of equal weight
-merge when the next batch comes, so a suffix is merged at most as often as the
-logarithm of the number of batches.
+A new batch gets a suffix array: its suffixes in byte order, in ranges over the
+executors and sorted within them; equal texts may lie in several ranges, so a
+frequent text is no heavy one. The order is made by merging the batch with the
+arrays of all levels, and there the longest match of a suffix lies right before
+or after it. A window whose part behind the anchor is longer than this match
+occurs nowhere else; a match of ``depth`` bytes may be longer and counts as
+long enough. Levels of equal weight merge when the next batch comes, so a
+suffix is merged at most as often as the logarithm of the number of batches.
 
 A match behind the anchor leaves open whether the bytes before it agree as
 well, with the same partner. This is settled among the few suffixes that are
@@ -40,9 +41,10 @@ from talentsift.llm.common import forget, prefix_hash, span_hash, stored
 
 LENGTH = 200
 PREFIX = 40
+DEPTH = 64
 SLICE = 1 << 20
 POSTINGS = "doc bigint, body bigint, key bigint, tail bigint, run bigint, start int, n int, lead int, text binary"
-MATCHES = "tail bigint, reach int, edge binary"
+ARRAY = "text binary, tail bigint, at bigint, reach int, fresh boolean, edge boolean"
 STARTS = 8
 BLOCKS = "doc bigint, body bigint, key bigint, block int, core bigint, left bigint, right bigint, first int, n int, start int"
 CUTS = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"
@@ -57,8 +59,8 @@ def _named(docs: DataFrame) -> DataFrame:
     )
 
 
-def anchored_runs(data: np.ndarray, ends: np.ndarray, length: int, prefix: int) -> tuple[np.ndarray, ...]:
-    """Runs of window starts in joined documents: first start, number of starts, distance to the anchor, and hashes of the prefix, of the suffix's text and of the run's bytes.
+def anchored_runs(data: np.ndarray, ends: np.ndarray, length: int, prefix: int, depth: int) -> tuple[np.ndarray, ...]:
+    """Runs of window starts in joined documents: first start, number of starts, distance to the anchor, and hashes of the prefix, of the suffix's first ``depth`` bytes and of the run's bytes.
 
     ``ends`` has the end of each document in ``data``; no window crosses one.
     """
@@ -85,7 +87,7 @@ def anchored_runs(data: np.ndarray, ends: np.ndarray, length: int, prefix: int)
     n = np.diff(np.append(first, len(starts)))
     begin, anchor = starts[first], anchors[first]
     end = begin + n - 1 + length
-    tail, run = span_hash(sums, anchor, end), span_hash(sums, begin, end)
+    tail, run = span_hash(sums, anchor, np.minimum(end, anchor + depth)), span_hash(sums, begin, end)
     return begin, n, anchor - begin, hashes[anchor].view(np.int64), tail.view(np.int64), run.view(np.int64)
 
 
@@ -118,8 +120,11 @@ def _slices(bodies: list[bytes], length: int) -> Iterator[list[tuple[int, int, b
         yield group
 
 
-def suffixes(docs: DataFrame, *, length: int = LENGTH, prefix: int = PREFIX) -> DataFrame:
-    """The anchored suffixes of every whole text as runs of window starts; ``text`` is filled up with zero bytes to ``length``."""
+def suffixes(docs: DataFrame, *, length: int = LENGTH, prefix: int = PREFIX, depth: int = DEPTH) -> DataFrame:
+    """The anchored suffixes of every whole text as runs of window starts.
+
+    ``text`` has the first ``depth`` bytes (at least ``prefix``), a shorter one filled up with zeros, ``tail`` its hash.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,14 +132,14 @@ def suffixes(docs: DataFrame, *, length: int = LENGTH, prefix: int = PREFIX) ->
             for group in _slices(bodies, length):
                 data = np.frombuffer(b"".join(part for _, _, part in group), np.uint8)
                 ends = np.cumsum([len(part) for _, _, part in group])
-                begin, n, lead, key, tail, run = anchored_runs(data, ends, length, prefix)
+                begin, n, lead, key, tail, run = anchored_runs(data, ends, length, prefix, depth)
                 if not len(begin):
                     continue
                 which = np.searchsorted(ends, begin, side="right")
                 rows = np.array([k for k, _, _ in group])[which]
                 shift = np.array([at for _, at, _ in group]) - np.concatenate([[0], ends[:-1]])
                 start = (begin + shift[which]).astype(np.int32)
-                place = (begin + lead)[:, None] + np.arange(length)
+                place = (begin + lead)[:, None] + np.arange(depth)
                 text = np.where(place < (begin + n - 1 + length)[:, None], data[np.minimum(place, len(data) - 1)], np.uint8(0))
                 columns = names[0][rows], names[1][rows], key, tail, run, start, n.astype(np.int32), lead.astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -145,40 +150,45 @@ def suffixes(docs: DataFrame, *, length: int = LENGTH, prefix: int = PREFIX) ->
     return _named(docs).mapInArrow(scan, POSTINGS)
 
 
-def _neighbours(prefix: int, length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Over the sorted suffixes of a part: the longest match of each with the one before or after it, from ``prefix`` bytes on.
+def _neighbours(prefix: int, depth: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Over the sorted suffixes of a part: the longest match of each with the one before or after it.
 
-    The first and the last of a part come with their text, since their
-    neighbours in other parts are not known here.
+    Returns all suffixes of the batch, in order, and of the others those that
+    match from ``prefix`` bytes on, one of equal ones. The first and the last
+    of a part are marked, since their neighbours in other parts are not known.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        text, tail, reach = np.empty((0, length), np.uint8), np.empty(0, np.int64), np.empty(0, np.int32)
+        held = (np.empty((0, depth), np.uint8), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool), np.empty(0, np.int32), np.empty(0, bool))
 
-        def rows(keep: np.ndarray, edges: list[bytes | None]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(tail[keep]), pa.array(reach[keep]), pa.array(edges, pa.binary())], names=["tail", "reach", "edge"]
-            )
+        def rows(keep: np.ndarray, edge: bool = False) -> pa.RecordBatch:
+            text, tail, at, fresh, reach = (c[keep] for c in held[:5])
+            edges = np.full(len(keep), edge)
+            return pa.RecordBatch.from_arrays([_texts(text), *(pa.array(c) for c in (tail, at, reach, fresh, edges))], names=["text", "tail", "at", "reach", "fresh", "edge"])
 
         opened = False
         for batch in batches:
             if not batch.num_rows:
                 continue
-            text = np.concatenate([text, _rows(batch.column(0), length)])
-            tail = np.concatenate([tail, np.asarray(batch.column(1))])
-            reach = np.concatenate([reach, np.where(np.asarray(batch.column(2)) > 1, length, 0).astype(np.int32)])
+            fresh = batch.column(3).to_numpy(zero_copy_only=False)
+            came = (_rows(batch.column(0), depth), np.asarray(batch.column(1)), np.asarray(batch.column(2)), fresh, np.zeros(len(fresh), np.int32), np.zeros(len(fresh), bool))
+            text, tail, at, fresh, reach, again = (np.concatenate(pair) for pair in zip(held, came, strict=True))
             same = text[1:] == text[:-1]
-            common = np.where(same.all(axis=1), length, same.argmin(axis=1)).astype(np.int32)
+            common = np.where(same.all(axis=1), depth, same.argmin(axis=1)).astype(np.int32)
             np.maximum(reach[1:], common, out=reach[1:])
             np.maximum(reach[:-1], common, out=reach[:-1])
-            if not opened:
+            again[1:] = common == depth
+            held = text, tail, at, fresh, reach, again
+            # The first row of a part leaves as an edge, the last as well; a part of one row leaves once.
+            done = np.flatnonzero(fresh[:-1] | ((reach[:-1] >= prefix) & ~again[:-1]))
+            if not opened and len(text) > 1:
                 opened = True
-                yield rows(np.array([0]), [text[0].tobytes()])
-            done = np.flatnonzero(reach[:-1] >= prefix)
-            yield rows(done, [None] * len(done))
-            text, tail, reach = text[-1:], tail[-1:], reach[-1:]
-        if opened:
-            yield rows(np.array([0]), [text[0].tobytes()])
+                yield rows(np.array([0]), True)
+                done = done[done > 0]
+            yield rows(done)
+            held = tuple(c[-1:] for c in held)
+        if len(held[0]):
+            yield rows(np.array([0]), True)
 
     return scan
 
@@ -186,53 +196,57 @@ def _neighbours(prefix: int, length: int) -> Callable[[Iterator[pa.RecordBatch]]
 class IndexFamily:
     """Suffix arrays whose sizes grow geometrically: ``levels`` holds weights (numbers of batches) and tables.
 
-    A level has ``text, tail, n`` in the order of ``text``: a suffix, its hash
-    and its number of occurrences. The tables lie below
+    A level has ``text, tail, at`` in the order of ``text``: a suffix, its hash
+    and a number that tells equal suffixes apart. The tables lie below
     ``spark.checkpoint.dir``; ``folders`` names them and ``opened`` goes on
     from there, also in another session.
     """
 
-    def __init__(self, *, length: int = LENGTH, prefix: int = PREFIX) -> None:
-        self.length, self.prefix = length, prefix
+    def __init__(self, *, prefix: int = PREFIX, depth: int = DEPTH) -> None:
+        self.prefix, self.depth = prefix, depth
         self.levels: list[tuple[int, DataFrame]] = []
 
     def folders(self) -> list[tuple[int, str]]:
         return [(weight, level.inputFiles()[0].rsplit("/", 1)[0]) for weight, level in self.levels]
 
     @classmethod
-    def opened(cls, spark: SparkSession, folders: list[tuple[int, str]], *, length: int = LENGTH, prefix: int = PREFIX) -> IndexFamily:
-        family = cls(length=length, prefix=prefix)
-        family.levels = [(weight, spark.read.parquet(folder)) for weight, folder in folders]
+    def opened(cls, spark: SparkSession, folders: list[tuple[int, str]], *, prefix: int = PREFIX, depth: int = DEPTH) -> IndexFamily:
+        family = cls(prefix=prefix, depth=depth)
+        family.levels = [(weight, spark.read.parquet(folder).where("fresh").select("text", "tail", "at")) for weight, folder in folders]
         return family
 
     def add(self, suffixes: DataFrame) -> DataFrame:
-        """Index the ``text, tail`` of a batch; ``tail, reach`` of all suffixes, old and new, that its arrival shows to match.
+        """Index the ``text, tail, at`` of a batch; ``tail, reach`` of all suffixes, old and new, that its arrival shows to match.
 
         ``reach`` counts the bytes that the suffix shares with the closest
-        other one, never too few. A batch without suffixes adds no level.
+        other one, up to ``depth`` and never too few. A batch without suffixes
+        adds no level.
         """
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (weight, a), (_, b) = self.levels.pop(), self.levels.pop()
-            self.levels.append((2 * weight, self._array(a.unionByName(b))))
+            merged = _in_order(a.unionByName(b)).withColumn("fresh", F.lit(True))
+            self.levels.append((2 * weight, stored(merged, "level").where("fresh").select("text", "tail", "at")))
             forget(a)
             forget(b)
-        # Equal texts become one row before the order is made, so a frequent text is no heavy range.
-        counted = suffixes.groupBy("text", "tail").agg(F.count("*").alias("n"))
-        fresh = self._array(counted)
-        if fresh.isEmpty():
-            return fresh.select("tail", F.lit(0).alias("reach"))
-        arrays = [fresh, *(level for _, level in self.levels)]
-        self.levels.append((1, fresh))
-        ordered = reduce(DataFrame.unionByName, arrays).repartitionByRange("text").sortWithinPartitions("text")
-        matches = stored(ordered.mapInArrow(_neighbours(self.prefix, self.length), MATCHES), "matches")
+        parts = [suffixes.withColumn("fresh", F.lit(True)), *(level.withColumn("fresh", F.lit(False)) for _, level in self.levels)]
+        compare = _neighbours(self.prefix, self.depth)
+        ordered = _in_order(reduce(DataFrame.unionByName, parts))
+        array = stored(ordered.select("text", "tail", "at", "fresh").mapInArrow(compare, ARRAY), "level")
         # Two rows a part, so one task has the neighbours across all borders.
-        edges = matches.where("edge is not null").select(F.col("edge").alias("text"), "tail", F.lit(1).alias("n")).dropDuplicates(["text"])
-        across = edges.repartition(1).sortWithinPartitions("text").mapInArrow(_neighbours(self.prefix, self.length), MATCHES)
-        return matches.unionByName(across).where(F.col("reach") >= self.prefix).select("tail", "reach")
+        edges = array.where("edge").select("text", "tail", "at", "fresh")
+        across = edges.repartition(1).sortWithinPartitions("text").mapInArrow(compare, ARRAY)
+        matches = array.unionByName(across).where(F.col("reach") >= self.prefix).groupBy("tail").agg(F.max("reach").alias("reach"))
+        matches = stored(matches, "matches")
+        level = array.where("fresh").select("text", "tail", "at")
+        if level.isEmpty():
+            forget(array)
+        else:
+            self.levels.append((1, level))
+        return matches
+
 
-    def _array(self, rows: DataFrame) -> DataFrame:
-        merged = rows.repartitionByRange("text").groupBy("text", "tail").agg(F.sum("n").alias("n"))
-        return stored(merged.sortWithinPartitions("text"), "suffixes")
+def _in_order(rows: DataFrame) -> DataFrame:
+    return rows.repartitionByRange("text", "at").sortWithinPartitions("text")
 
 
 def _blocks(docs: DataFrame, work: DataFrame, length: int) -> DataFrame:
@@ -317,20 +331,20 @@ def _equal_windows(blocks: DataFrame) -> list[DataFrame]:
 
 def find_repeats(docs: DataFrame, *, length: int = LENGTH, prefix: int = PREFIX, batches: int = 4) -> DataFrame:
     """``doc, body, start, n``: runs of starts whose windows of ``length`` bytes start anywhere else as well."""
-    family = IndexFamily(length=length, prefix=prefix)
+    depth = min(length, max(prefix, DEPTH))
+    family = IndexFamily(prefix=prefix, depth=depth)
     batch = F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches))
     postings, matches = [], []
     for k in range(batches):
-        found = stored(suffixes(docs.where(batch == k), length=length, prefix=prefix), "suffixes")
-        postings.append(stored(found.drop("text"), "postings"))
-        matches.append(family.add(found.select("text", "tail")))
-        forget(found)
+        postings.append(stored(suffixes(docs.where(batch == k), length=length, prefix=prefix, depth=depth), "postings"))
+        matches.append(family.add(postings[-1].select("text", "tail", F.xxhash64("doc", "body", "start").alias("at"))))
     reach = stored(reduce(DataFrame.unionByName, matches).groupBy("tail").agg(F.max("reach").alias("reach")), "reach")
     for done in (*matches, *(level for _, level in family.levels)):
         forget(done)
-    # Windows need the match to go on to their end: what lies behind the anchor is ``length`` less the distance to it.
-    again = reduce(DataFrame.unionByName, postings).join(reach, "tail").withColumn("n", F.least("n", F.expr(f"lead + reach - {length} + 1")))
-    again = stored(again.where("n > 0").drop("tail", "reach"), "again")
+    # A window needs the match to go on to its end: what lies behind the anchor is ``length`` less the distance to it.
+    enough = F.when(F.col("reach") < depth, F.expr(f"least(n, lead + reach - {length} + 1)")).otherwise(F.col("n"))
+    again = reduce(DataFrame.unionByName, postings).join(reach, "tail").withColumn("n", enough)
+    again = stored(again.where("n > 0").select("doc", "body", "key", "run", "start", "n", "lead"), "again")
     for done in (reach, *postings):
         forget(done)
 

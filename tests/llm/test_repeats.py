@@ -63,24 +63,28 @@ def _common(a, b):
     return next((i for i, (x, y) in enumerate(zip(a, b, strict=True)) if x != y), len(a))
 
 
-def _rows_of(family):
-    return [[(bytes(r["text"]), r["n"]) for r in level.collect()] for _, level in family.levels]
+def _suffixes(docs):
+    return suffixes(docs, length=32, prefix=8, depth=24).selectExpr("text", "tail", "xxhash64(doc, body, start) as at")
+
+
+def _texts_of(family):
+    return [[bytes(r["text"]) for r in level.collect()] for _, level in family.levels]
 
 
 def test_levels_stay_and_give_the_longest_matches_of_later_batches(make_docs, spark):
     r = random.Random(5)
     stock = ["".join(r.choice("abc") for _ in range(60)) for _ in range(6)]
     batches = [[(10 * k + i, "".join(r.choice(stock) if r.random() < 0.6 else "".join(r.choice("abc") for _ in range(50)) for _ in range(4))) for i in range(8)] for k in range(5)]
-    family = IndexFamily(length=32, prefix=8)
+    family = IndexFamily(prefix=8, depth=24)
     seen, reaches = [], {}
     for k, rows in enumerate(batches):
-        found = suffixes(make_docs(rows), length=32, prefix=8)
+        found = _suffixes(make_docs(rows))
         if k == 2:
-            family = IndexFamily.opened(spark, family.folders(), length=32, prefix=8)
-        for row in family.add(found.select("text", "tail")).collect():
+            family = IndexFamily.opened(spark, family.folders(), prefix=8, depth=24)
+        for row in family.add(found).collect():
             reaches[row["tail"]] = max(reaches.get(row["tail"], 0), row["reach"])
-        seen += [(row["tail"], bytes(row["text"])) for row in found.select("tail", "text").collect()]
-        assert sum(n for level in _rows_of(family) for _, n in level) == len(seen)
+        seen += [(row["tail"], bytes(row["text"])) for row in found.collect()]
+        assert Counter(t for level in _texts_of(family) for t in level) == Counter(t for _, t in seen)
     assert [weight for weight, _ in family.levels] == [4, 1]
     best = {}
     for i, (tail, text) in enumerate(seen):
@@ -88,19 +92,17 @@ def test_levels_stay_and_give_the_longest_matches_of_later_batches(make_docs, sp
     assert reaches == {tail: n for tail, n in best.items() if n >= 8}
 
 
-def test_a_level_is_in_byte_order_and_counts_equal_texts(make_docs):
-    family = IndexFamily(length=32, prefix=8)
+def test_a_level_is_in_byte_order_and_equal_texts_lie_in_several_parts(make_docs):
+    family = IndexFamily(prefix=8, depth=24)
     text = "the same words stand in every one of these rows, again and again"
-    family.add(suffixes(make_docs([(i, text) for i in range(300)]), length=32, prefix=8).select("text", "tail"))
-    (level,) = _rows_of(family)
-    assert all(n == 300 for _, n in level)
-    assert sorted(t for t, _ in level) == sorted({t for t, _ in level})
-    for part in family.levels[0][1].rdd.glom().collect():
-        texts = [bytes(r["text"]) for r in part]
-        assert texts == sorted(texts)
+    matches = family.add(_suffixes(make_docs([(i, text) for i in range(300)])))
+    assert all(r["reach"] == 24 for r in matches.collect()) and matches.count() > 0
+    parts = [[bytes(r["text"]) for r in part] for part in family.levels[0][1].rdd.glom().collect()]
+    assert all(texts == sorted(texts) for texts in parts)
+    assert all(n == 300 for n in Counter(t for texts in parts for t in texts).values())
 
 
 def test_a_batch_without_suffixes_adds_no_level(make_docs):
-    family = IndexFamily(length=32, prefix=8)
-    assert family.add(suffixes(make_docs([(1, "short"), (2, None)]), length=32, prefix=8).select("text", "tail")).count() == 0
+    family = IndexFamily(prefix=8, depth=24)
+    assert family.add(_suffixes(make_docs([(1, "short"), (2, None)]))).count() == 0
     assert family.levels == []
