@@ -34,10 +34,12 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talentsift.llm.common import forget, prefix_hash, span_hash, stored
+from talentsift.llm.common import chunks, forget, prefix_hash, span_hash
+from talentsift.llm.common import stored as stored_step
 
 LENGTH = 200
 PREFIX = 40
@@ -49,6 +51,13 @@ STARTS = 8
 BLOCKS = "doc bigint, body bigint, key bigint, block int, core bigint, left bigint, right bigint, first int, n int, start int"
 CUTS = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"
 NO_ID = -(1 << 63)
+#: Above 200 partitions a shuffle task writes one sorted file; up to there it opens a file for each partition.
+PARTITIONS = 256
+
+
+def stored(rows: DataFrame, purpose: str) -> DataFrame:
+    partitions = max(PARTITIONS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return stored_step(rows, purpose, {"spark.sql.shuffle.partitions": str(partitions)})
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -77,7 +86,7 @@ def anchored_runs(data: np.ndarray, ends: np.ndarray, length: int, prefix: int,
         low = np.minimum(low[: len(low) - (width - have)], low[width - have :])
     anchors = (low & np.uint64((1 << 24) - 1)).astype(np.int64)
     starts = np.arange(len(anchors))
-    valid = starts + length <= ends[np.searchsorted(ends, starts, side="right")]
+    valid = starts + length <= np.repeat(ends, np.diff(ends, prepend=0))[: len(starts)]
     starts, anchors = starts[valid], anchors[valid]
     if not len(starts):
         return (np.empty(0, np.int64),) * 6
@@ -103,6 +112,13 @@ def _rows(texts: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(texts.buffers()[2], np.uint8)[ends[0] : ends[-1]].reshape(-1, width)
 
 
+def _listed(lists: pa.Array, names: tuple[str, ...]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Values before each row of a column of lists, a null one being empty, and the fields of all values."""
+    sizes = np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
+    values = lists.flatten()
+    return np.concatenate([[0], np.cumsum(sizes)]), [np.asarray(values.field(values.type.get_field_index(c))).astype(np.int64) for c in names]
+
+
 def _slices(bodies: list[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
     """Documents (index, offset, bytes) in groups of about ``SLICE`` bytes; longer ones in overlapping slices."""
     group, size = [], 0
@@ -139,8 +155,11 @@ def suffixes(docs: DataFrame, *, length: int = LENGTH, prefix: int = PREFIX, dep
                 rows = np.array([k for k, _, _ in group])[which]
                 shift = np.array([at for _, at, _ in group]) - np.concatenate([[0], ends[:-1]])
                 start = (begin + shift[which]).astype(np.int32)
-                place = (begin + lead)[:, None] + np.arange(depth)
-                text = np.where(place < (begin + n - 1 + length)[:, None], data[np.minimum(place, len(data) - 1)], np.uint8(0))
+                padded = np.concatenate([data, np.zeros(depth, np.uint8)])
+                text = np.lib.stride_tricks.sliding_window_view(padded, depth)[begin + lead]
+                known = n - 1 + length - lead
+                short = np.flatnonzero(known < depth)
+                text[short] *= np.arange(depth) < known[short, None]
                 columns = names[0][rows], names[1][rows], key, tail, run, start, n.astype(np.int32), lead.astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [*(pa.array(c) for c in columns), _texts(text)],
@@ -249,6 +268,15 @@ def _in_order(rows: DataFrame) -> DataFrame:
     return rows.repartitionByRange("text", "at").sortWithinPartitions("text")
 
 
+def _one(*names: str) -> list[Column]:
+    """Any one row of a group, a column each.
+
+    All columns see the rows in one order, so what they take is of one row.
+    Numbers aggregate by hash; the least of a struct would sort the rows twice.
+    """
+    return [F.first(name).alias(name) for name in names]
+
+
 def _blocks(docs: DataFrame, work: DataFrame, length: int) -> DataFrame:
     """The runs of ``work`` cut into blocks of eight starts at fixed distances from the anchor.
 
@@ -257,7 +285,7 @@ def _blocks(docs: DataFrame, work: DataFrame, length: int) -> DataFrame:
     need them. Core and sides together tell each of its windows.
     """
     lists = work.groupBy("doc", "body").agg(F.collect_list(F.struct("key", "start", "n", "lead")).alias("runs"))
-    joined = _named(docs).dropDuplicates(["doc", "body"]).join(lists, ["doc", "body"])
+    joined = _named(docs).dropDuplicates(["doc", "body"]).join(lists.hint("shuffle_hash"), ["doc", "body"])
     shared = length - STARTS + 1
 
     def side(data: np.ndarray, at: np.ndarray, step: int, count: np.ndarray) -> np.ndarray:
@@ -269,21 +297,26 @@ def _blocks(docs: DataFrame, work: DataFrame, length: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, body, raw, runs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                data = np.frombuffer(raw, np.uint8)
-                start, n, lead, key = (np.array([r[c] for r in runs], np.int64) for c in ("start", "n", "lead", "key"))
+            docs, bodies, texts = np.asarray(batch.column(0)), np.asarray(batch.column(1)), batch.column(2).to_pylist()
+            before, fields = _listed(batch.column(3), ("start", "n", "lead", "key"))
+            for a, b in chunks(texts):
+                data = np.frombuffer(b"".join(texts[a:b]), np.uint8)
+                base = np.concatenate([[0], np.cumsum([len(t) for t in texts[a:b]])[:-1]])
+                row = np.repeat(np.arange(b - a), np.diff(before[a : b + 1]))
+                start, n, lead, key = (c[before[a] : before[b]] for c in fields)
                 last = lead - n + 1
                 count = lead // STARTS - last // STARTS + 1
-                which = np.repeat(np.arange(len(runs)), count)
+                which = np.repeat(np.arange(len(start)), count)
                 block = (lead // STARTS)[which] - (np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count))
                 high = np.minimum(STARTS * block + STARTS - 1, lead[which])
                 low = np.maximum(STARTS * block, last[which])
                 anchor = (start + lead)[which]
-                core = anchor - STARTS * block
+                place = base[row][which]
+                core = place + anchor - STARTS * block
                 first = low - STARTS * block
                 columns = {
-                    "doc": np.full(len(which), doc, np.int64),
-                    "body": np.full(len(which), body, np.int64),
+                    "doc": docs[a:b][row][which],
+                    "body": bodies[a:b][row][which],
                     "key": key[which],
                     "block": block.astype(np.int32),
                     "core": span_hash(prefix_hash(data), core, core + shared).view(np.int64),
@@ -301,10 +334,10 @@ def _blocks(docs: DataFrame, work: DataFrame, length: int) -> DataFrame:
 def _equal_windows(blocks: DataFrame) -> list[DataFrame]:
     """``doc, body, start, n`` of the windows in ``blocks`` that occur in two of them; takes the files of ``blocks`` away."""
     same_core, content = ["key", "block", "core"], ["left", "right", "first", "n"]
-    contents = blocks.groupBy(*same_core, *content).agg(F.count("*").alias("times"), F.min(F.struct("doc", "body", "start")).alias("one"))
+    contents = blocks.groupBy(*same_core, *content).agg(F.count("*").alias("times"), *_one("doc", "body", "start"))
     contents = stored(contents, "contents")
     repeated = stored(contents.where("times > 1").select(*same_core, *content), "repeated")
-    whole = stored(blocks.join(repeated, [*same_core, *content]).select("doc", "body", "start", "n"), "found")
+    whole = stored(blocks.join(repeated.hint("shuffle_hash"), [*same_core, *content]).select("doc", "body", "start", "n"), "found")
     forget(blocks)
     # Only blocks with equal cores can share a window, and only unequal blocks have anything left to compare.
     mixed = contents.groupBy(*same_core).agg(F.count("*").alias("ways"), F.min("times").alias("least")).where("ways > 1 and least = 1")
@@ -317,13 +350,13 @@ def _equal_windows(blocks: DataFrame) -> list[DataFrame]:
         for k in range(STARTS)
     ]
     windows = (
-        contents.join(mixed.select(*same_core), same_core)
-        .select("key", "times", "one", "first", "n", F.explode(F.slice(F.array(*steps), F.col("first") + 1, F.col("n"))).alias("w"))
-        .select("key", "times", "one", (F.col("first") + F.col("n") - 1 - F.col("w.k")).alias("after"), "w.hash")
+        contents.join(mixed.select(*same_core).hint("shuffle_hash"), same_core)
+        .select("key", "times", "doc", "body", "start", "first", "n", F.explode(F.slice(F.array(*steps), F.col("first") + 1, F.col("n"))).alias("w"))
+        .select("key", "times", "doc", "body", "start", (F.col("first") + F.col("n") - 1 - F.col("w.k")).alias("after"), "w.hash")
     )
     equal = stored(windows.groupBy("key", "hash").agg(F.count("*").alias("ways")).where("ways > 1").select("key", "hash"), "equal")
-    single = windows.where("times = 1").join(equal, ["key", "hash"])
-    single = single.select("one.doc", "one.body", (F.col("one.start") + F.col("after")).alias("start"), F.lit(1).alias("n"))
+    single = windows.where("times = 1").join(equal.hint("shuffle_hash"), ["key", "hash"])
+    single = single.select("doc", "body", (F.col("start") + F.col("after")).alias("start"), F.lit(1).alias("n"))
     single = stored(single, "found")
     forget(contents)
     return [whole, single]
@@ -343,18 +376,18 @@ def find_repeats(docs: DataFrame, *, length: int = LENGTH, prefix: int = PREFIX,
         forget(done)
     # A window needs the match to go on to its end: what lies behind the anchor is ``length`` less the distance to it.
     enough = F.when(F.col("reach") < depth, F.expr(f"least(n, lead + reach - {length} + 1)")).otherwise(F.col("n"))
-    again = reduce(DataFrame.unionByName, postings).join(reach, "tail").withColumn("n", enough)
+    again = reduce(DataFrame.unionByName, postings).join(reach.hint("shuffle_hash"), "tail").withColumn("n", enough)
     again = stored(again.where("n > 0").select("doc", "body", "key", "run", "start", "n", "lead"), "again")
     for done in (reach, *postings):
         forget(done)
 
-    runs = again.groupBy("key", "run").agg(F.count("*").alias("times"), F.min(F.struct("doc", "body", "start", "n", "lead")).alias("one"))
-    runs = stored(runs.select("key", "run", "times", "one.*"), "runs")
-    whole = stored(again.join(runs.where("times > 1").select("key", "run"), ["key", "run"]).select("doc", "body", "start", "n"), "found")
+    runs = again.groupBy("key", "run").agg(F.count("*").alias("times"), *_one("doc", "body", "start", "n", "lead"))
+    runs = stored(runs, "runs")
+    whole = stored(again.join(runs.where("times > 1").select("key", "run").hint("shuffle_hash"), ["key", "run"]).select("doc", "body", "start", "n"), "found")
     forget(again)
     # Where a prefix continues in several ways, parts of these may agree: one occurrence of each is compared by window.
     differing = stored(runs.groupBy("key").agg(F.count("*").alias("ways")).where("ways > 1").select("key"), "differing")
-    blocks = stored(_blocks(docs, runs.join(differing, "key"), length), "blocks")
+    blocks = stored(_blocks(docs, runs.join(differing.hint("shuffle_hash"), "key"), length), "blocks")
     forget(runs)
     return reduce(DataFrame.unionByName, [whole, *_equal_windows(blocks)])
 
@@ -369,28 +402,39 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, prefix: int = PREFI
     """
     found = find_repeats(docs, length=length, prefix=prefix, batches=batches)
     cuts = found.groupBy("doc", "body").agg(F.collect_list(F.struct("start", "n")).alias("cuts"))
-    joined = _named(docs).join(cuts, ["doc", "body"], "left")
+    joined = _named(docs).join(cuts.hint("shuffle_hash"), ["doc", "body"], "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            for doc, data, cuts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                change = np.zeros(len(data) + 1, np.int64)
-                if cuts:
-                    starts = np.array([c["start"] for c in cuts])
-                    np.add.at(change, starts, 1)
-                    np.add.at(change, starts + np.array([c["n"] for c in cuts]) - 1 + length, -1)
-                gone = np.cumsum(change[:-1]) > 0
-                edges = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
-                spans = [{"start": a, "end": b} for a, b in zip(edges[0::2].tolist(), edges[1::2].tolist(), strict=True)]
-                kept = np.frombuffer(data, np.uint8)[~gone].tobytes() if spans else data
-                out.append((None if doc == NO_ID else doc, len(data), len(data) - len(kept), len(spans), spans, kept))
-            span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), span, pa.binary())
-            columns = zip(*out, strict=True) if out else [[]] * 6
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v, k) for v, k in zip(columns, kinds, strict=True)],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept"],
-            )
+            docs, texts = np.asarray(batch.column(0)), batch.column(1).to_pylist()
+            before, fields = _listed(batch.column(2), ("start", "n"))
+            for a, b in chunks(texts):
+                data = np.frombuffer(b"".join(texts[a:b]), np.uint8)
+                edge = np.concatenate([[0], np.cumsum([len(t) for t in texts[a:b]])])
+                start, n = (c[before[a] : before[b]] for c in fields)
+                start = start + np.repeat(edge[:-1], np.diff(before[a : b + 1]))
+                change = np.zeros(len(data) + 1, np.int32)
+                np.add.at(change, start, 1)
+                np.add.at(change, start + n - 1 + length, -1)
+                gone = np.cumsum(change[:-1], dtype=np.int32) > 0
+                # A span ends where its document does, even if the next one begins with a span.
+                border = np.zeros(len(data) + 1, bool)
+                border[edge] = True
+                opens = np.flatnonzero(gone & (border[:-1] | ~np.concatenate([[False], gone])[:-1]))
+                ends = np.flatnonzero(gone & (border[1:] | ~np.append(gone, False)[1:])) + 1
+                spans = np.searchsorted(opens, edge)
+                shift = np.repeat(edge[:-1], np.diff(spans))
+                removed = np.concatenate([[0], np.cumsum(gone)])[edge]
+                kept = (edge - removed).astype(np.int32)
+                pairs = pa.StructArray.from_arrays([pa.array(opens - shift), pa.array(ends - shift)], names=["start", "end"])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(docs[a:b], mask=docs[a:b] == NO_ID),
+                        *(pa.array(np.diff(c)) for c in (edge, removed, spans)),
+                        pa.ListArray.from_arrays(pa.array(spans.astype(np.int32)), pairs),
+                        pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(kept), pa.py_buffer(data[~gone])]),
+                    ],
+                    names=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept"],
+                )
 
     return joined.select("doc", "bytes", "cuts").mapInArrow(cut, CUTS)

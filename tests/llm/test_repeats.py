@@ -3,9 +3,12 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
+from talentsift.llm import repeats
 from talentsift.llm.repeats import IndexFamily, find_repeats, remove_repeats, suffixes
+from tests.conftest import plan_of
 from tests.llm.conftest import ODD
 
 
@@ -106,3 +109,35 @@ def test_a_batch_without_suffixes_adds_no_level(make_docs):
     family = IndexFamily(prefix=8, depth=24)
     assert family.add(_suffixes(make_docs([(1, "short"), (2, None)]))).count() == 0
     assert family.levels == []
+
+
+def test_neighbouring_documents_that_go_as_a_whole_keep_spans_of_their_own(make_docs):
+    text = "0123456789abcdef" * 4
+    rows = [(1, text), (2, text), (3, ""), (4, text + "tail"), (5, "head" + text), (6, None), (7, "only here, once and for all, so it stays"), (None, text)]
+    found = Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"]), tuple(map(tuple, r["spans"]))) for r in run(make_docs(rows).coalesce(1), 32, 8).collect())
+    whole = (64, 64, 1, b"", ((0, 64),))
+    assert found == Counter(
+        [(1, *whole), (2, *whole), (None, *whole), (3, 0, 0, 0, b"", ()), (6, 0, 0, 0, b"", ()), (4, 68, 64, 1, b"tail", ((0, 64),)), (5, 68, 64, 1, b"head", ((4, 68),)), (7, 40, 0, 0, rows[6][1].encode(), ())]
+    )
+
+
+def test_one_row_of_a_group_is_taken_by_hash_and_whole(spark):
+    rows = spark.range(20_000, numPartitions=7).selectExpr("id % 50 as key", "id as doc", "id * 3 as body", "cast(id as int) as start")
+    taken = rows.groupBy("key").agg(*repeats._one("doc", "body", "start"))
+    assert all(r["body"] == 3 * r["doc"] and r["start"] == r["doc"] and r["doc"] % 50 == r["key"] for r in taken.collect())
+    assert "HashAggregate" in plan_of(taken) and "SortAggregate" not in plan_of(taken)
+
+
+def test_blocks_leave_in_large_batches(make_docs, spark, monkeypatch):
+    """Documents of a megabyte together make one Arrow batch of blocks, not one each."""
+    r = random.Random(3)
+    texts = ["".join(r.choice("abcdefgh ") for _ in range(120)) for _ in range(40)]
+    batches = []
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", lambda frame, scan, schema: batches.append(scan) or frame)
+    repeats._blocks(make_docs(list(enumerate(texts))), spark.createDataFrame([], "doc bigint, body bigint, key bigint, start int, n int, lead int"), 32)
+    kind = pa.list_(pa.struct([("key", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("lead", pa.int32())]))
+    runs = [[{"key": 7, "start": 5, "n": 12, "lead": 16}] for _ in texts]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40), pa.int64()), pa.array(range(40), pa.int64()), pa.array([t.encode() for t in texts]), pa.array(runs, kind)], names=["doc", "body", "bytes", "runs"])
+    (out,) = batches[0](iter([batch]))
+    windows = Counter((row["doc"], s) for row in out.to_pylist() for s in range(row["start"], row["start"] + row["n"]))
+    assert windows == Counter((d, s) for d in range(40) for s in range(5, 17))
