@@ -442,6 +442,7 @@ def _moment(text: str) -> datetime:
 
 
 SAMPLE_BUCKETS = 8  # the samples hold a few megabytes of payloads
+BUCKET_ROWS = 50_000
 FIRST_RUN, SECOND_RUN = "2024-01-16 00:00:00", "2024-01-31 00:00:00"
 
 
@@ -450,8 +451,15 @@ class Interrupted(Exception):
 
 
 def _two_landings(t: Samples, purpose: str) -> rounds.RoundStore:
-    """A store whose first landing has been enriched and whose second one is pending."""
-    store, raw = rounds.open_store(t.spark, shared_folder(t.spark, purpose), buckets=SAMPLE_BUCKETS), t.raw_payloads()
+    """A store whose first landing has been enriched and whose second one is pending.
+
+    Buckets are parsed one task each, so their number grows with the payloads. The
+    events are dealt out before they become payloads, since a file may be one row group.
+    """
+    events = t.table("events")
+    buckets = max(SAMPLE_BUCKETS, -(-events.count() // BUCKET_ROWS))
+    store = rounds.open_store(t.spark, shared_folder(t.spark, purpose), buckets=buckets)
+    raw = t.raw_payloads(events.repartition("event_id", "ts"))
     rounds.land(store, "landing-1", raw.where(_earlier()), _moment("2024-01-15 00:00:00"))
     rounds.enrich_round(store, "enrich-1", _moment(FIRST_RUN))
     rounds.land(store, "landing-2", raw.where(~_earlier()), _moment("2024-01-30 00:00:00"))

@@ -7,10 +7,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from talentsift import schemas
+from talentsift.catalog import queries
 from talentsift.operators import dedup, parsing, queue
 from talentsift.operators.latest import latest_n, snapshot_order
 from talentsift.plans import discover, enrich, rounds
 from talentsift.rules import Rules
+from talentsift.session import prepare
 from talentsift.sources.rounds import RoundStore, Table
 from talentsift.sources.samples import Samples
 from tests.conftest import plan_of, rows
@@ -239,3 +241,42 @@ def test_rounds_seen_as_of_a_moment(spark, tmp_path):
     plan = plan_of(store.read("dated").where(F.col("day") == F.lit(DAYS[1].date())))
     assert "dynamicpruning" in plan.lower() and "PartitionFilters: [isnotnull(day" in plan
     assert store.read("numbers", DAYS[0]).count() == 0
+
+
+def test_rows_of_a_day_are_written_where_they_are(spark, tmp_path):
+    """No shuffle to one place per day, and no row is lost where tasks hold more days than open files."""
+    store = rounds.open_store(spark, str(tmp_path / "days"), buckets=4)
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+
+    def snapshots(days):
+        told = {"raw_id": F.col("id"), "snapshot_date": F.date_add(F.lit("2024-01-01"), (F.col("id") % days).cast("int"))}
+        fields = store.tables["profile_snapshots"].columns
+        return spark.range(0, 400, 1, 4).select(*[told.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
+
+    with store.round("one", datetime(2024, 1, 1)) as this:
+        this.write("profile_snapshots", snapshots(1))
+    assert len(store.read("profile_snapshots", rounds=["one"]).select(F.input_file_name()).distinct().collect()) == 4
+    with store.round("many", datetime(2024, 1, 2)) as this:
+        this.write("profile_snapshots", snapshots(25))
+    assert store.read("profile_snapshots", rounds=["many"]).groupBy("snapshot_date").count().collect() and this.rows["profile_snapshots"] == 400
+    assert store.read("profile_snapshots", rounds=["many"]).agg(F.count_distinct("raw_id", "snapshot_date")).first()[0] == 400
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+
+
+def test_buckets_of_the_sample_store_grow_with_the_payloads(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "BUCKET_ROWS", 10)
+    events = spark.range(117).selectExpr(
+        "id as event_id", "timestamp'2024-01-10 00:00:00' + make_interval(0, 0, 0, cast(id % 15 as int)) as ts", "id % 9 as user_id",
+        "element_at(array('view', 'click'), cast(id % 2 + 1 as int)) as event_type", "cast(id as double) as value", "concat('{\"k\": ', id % 50, '}') as props",
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    store = queries._two_landings(queries.Samples(spark, str(tmp_path)), "growing")
+    assert store.tables["raw_payloads"].buckets == store.tables["parse_outcomes"].buckets == 12
+    assert store.read("raw_payloads").count() == 117
+
+
+def test_a_session_built_elsewhere_splits_large_methods(spark):
+    other = spark.newSession()
+    other.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    prepare(other)
+    assert other.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
