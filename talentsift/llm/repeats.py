@@ -44,7 +44,8 @@ from talentsift.llm.common import stored as stored_step
 LENGTH = 200
 PREFIX = 40
 DEPTH = 64
-SLICE = 1 << 20
+#: Bytes of text that a worker computes over at once; hashes and places take about a hundred times as much.
+SLICE = 1 << 17
 POSTINGS = "doc bigint, body bigint, key bigint, tail bigint, run bigint, start int, n int, lead int, text binary"
 ARRAY = "text binary, tail bigint, at bigint, reach int, fresh boolean, edge boolean"
 STARTS = 8
@@ -53,11 +54,13 @@ CUTS = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, spans a
 NO_ID = -(1 << 63)
 #: Above 200 partitions a shuffle task writes one sorted file; up to there it opens a file for each partition.
 PARTITIONS = 256
+#: Of the rows that a worker gets at once, so that long texts come in smaller batches.
+BATCH_BYTES = "1m"
 
 
 def stored(rows: DataFrame, purpose: str) -> DataFrame:
     partitions = max(PARTITIONS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return stored_step(rows, purpose, {"spark.sql.shuffle.partitions": str(partitions)})
+    return stored_step(rows, purpose, {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES})
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -282,10 +285,11 @@ def _blocks(docs: DataFrame, work: DataFrame, length: int) -> DataFrame:
 
     ``core`` hashes what all windows of a block share; ``left`` and ``right``
     are the seven bytes on either side of it, as far as windows of the block
-    need them. Core and sides together tell each of its windows.
+    need them. Core and sides together tell each of its windows. A row that
+    repeats gives its blocks each time: their windows do start elsewhere as well.
     """
     lists = work.groupBy("doc", "body").agg(F.collect_list(F.struct("key", "start", "n", "lead")).alias("runs"))
-    joined = _named(docs).dropDuplicates(["doc", "body"]).join(lists.hint("shuffle_hash"), ["doc", "body"])
+    joined = _named(docs).join(lists.hint("shuffle_hash"), ["doc", "body"])
     shared = length - STARTS + 1
 
     def side(data: np.ndarray, at: np.ndarray, step: int, count: np.ndarray) -> np.ndarray:
@@ -299,7 +303,7 @@ def _blocks(docs: DataFrame, work: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             docs, bodies, texts = np.asarray(batch.column(0)), np.asarray(batch.column(1)), batch.column(2).to_pylist()
             before, fields = _listed(batch.column(3), ("start", "n", "lead", "key"))
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, SLICE):
                 data = np.frombuffer(b"".join(texts[a:b]), np.uint8)
                 base = np.concatenate([[0], np.cumsum([len(t) for t in texts[a:b]])[:-1]])
                 row = np.repeat(np.arange(b - a), np.diff(before[a : b + 1]))
@@ -408,7 +412,7 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, prefix: int = PREFI
         for batch in batches:
             docs, texts = np.asarray(batch.column(0)), batch.column(1).to_pylist()
             before, fields = _listed(batch.column(2), ("start", "n"))
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, SLICE):
                 data = np.frombuffer(b"".join(texts[a:b]), np.uint8)
                 edge = np.concatenate([[0], np.cumsum([len(t) for t in texts[a:b]])])
                 start, n = (c[before[a] : before[b]] for c in fields)
@@ -437,4 +441,6 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, prefix: int = PREFI
                     names=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept"],
                 )
 
-    return joined.select("doc", "bytes", "cuts").mapInArrow(cut, CUTS)
+    rest = stored(joined.select("doc", "bytes", "cuts").mapInArrow(cut, CUTS), "kept")
+    forget(found)
+    return rest

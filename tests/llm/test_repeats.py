@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter
 
 import pyarrow as pa
@@ -141,3 +142,40 @@ def test_blocks_leave_in_large_batches(make_docs, spark, monkeypatch):
     (out,) = batches[0](iter([batch]))
     windows = Counter((row["doc"], s) for row in out.to_pylist() for s in range(row["start"], row["start"] + row["n"]))
     assert windows == Counter((d, s) for d in range(40) for s in range(5, 17))
+
+
+def test_a_worker_needs_little_memory_for_a_batch_of_texts(make_docs, spark, monkeypatch):
+    """Hashes and places of some megabytes of text are never held at once."""
+    r = random.Random(4)
+    texts = ["".join(r.choice("abcdefgh ") for _ in range(4000)) for _ in range(512)]
+    scans = []
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", lambda frame, scan, schema: scans.append(scan) or frame)
+    suffixes(make_docs([]))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(512), pa.int64()), pa.array(range(512), pa.int64()), pa.array([t.encode() for t in texts])], names=["doc", "body", "bytes"])
+    tracemalloc.start()
+    try:
+        rows = sum(out.num_rows for out in scans[0](iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows > 512 * 20 and peak < 40e6
+
+
+def test_long_texts_come_to_a_worker_in_small_batches(make_docs, spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    docs = make_docs([(i, "0123456789" * 1000) for i in range(900)]).coalesce(1)
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    found = [r["n"] for r in repeats.stored(docs.mapInArrow(sizes, "n bigint"), "sizes").collect()]
+    assert sum(found) > 9_000_000 and max(found) < 1_500_000
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
+def test_whole_texts_are_neither_sorted_nor_cut_under_other_settings(make_docs, spark):
+    docs = make_docs([(1, "0123456789" * 8), (1, "0123456789" * 8), (2, "abcdefghij" * 8 + "x")])
+    work = spark.createDataFrame([], "doc bigint, body bigint, key bigint, start int, n int, lead int")
+    plan = plan_of(repeats._blocks(docs, work, 32))
+    assert "SortAggregate" not in plan and "Sort [" not in plan
+    assert "MapInArrow" not in plan_of(run(docs, 32, 8))
